@@ -1,0 +1 @@
+"""Empty on purpose: every table is bounded and replaced as a whole on each run."""
