@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from credit_marts.operators import checks, conform, marts
 from credit_marts.plans.jobs import GoldJob, SilverJob, ingest_all
+from credit_marts.plans.lazy import LazyTables
 from credit_marts.plans.profiles import DAYS_SENTINEL, LINKS
 from credit_marts.sources import TableSpec, ensure_schemas
 
@@ -82,19 +83,21 @@ def silver_installments(df: DataFrame) -> DataFrame:
     return conform.add_payment_delay(conform.drop_full_duplicates(_prepared(df)))
 
 
-def silver_tables(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All conformed tables, lazily."""
-    return {
-        "application": silver_application(bronze["application_train"], bronze["application_test"]),
-        "bureau": conform.dedup(_prepared(bronze["bureau"]), SILVER_KEYS["bureau"]),
-        "bureau_balance": silver_bureau_balance(bronze["bureau_balance"]),
-        "previous_application": silver_previous_application(bronze["previous_application"]),
-        "POS_CASH_balance": conform.dedup(
-            _prepared(bronze["POS_CASH_balance"]), SILVER_KEYS["POS_CASH_balance"]
-        ),
-        "credit_card_balance": silver_credit_card_balance(bronze["credit_card_balance"]),
-        "installments_payments": silver_installments(bronze["installments_payments"]),
-    }
+def silver_tables(bronze: Mapping[str, DataFrame]) -> LazyTables:
+    """All conformed tables."""
+    return LazyTables(
+        {
+            "application": lambda: silver_application(bronze["application_train"], bronze["application_test"]),
+            "bureau": lambda: conform.dedup(_prepared(bronze["bureau"]), SILVER_KEYS["bureau"]),
+            "bureau_balance": lambda: silver_bureau_balance(bronze["bureau_balance"]),
+            "previous_application": lambda: silver_previous_application(bronze["previous_application"]),
+            "POS_CASH_balance": lambda: conform.dedup(
+                _prepared(bronze["POS_CASH_balance"]), SILVER_KEYS["POS_CASH_balance"]
+            ),
+            "credit_card_balance": lambda: silver_credit_card_balance(bronze["credit_card_balance"]),
+            "installments_payments": lambda: silver_installments(bronze["installments_payments"]),
+        }
+    )
 
 
 def silver_rules() -> dict[str, list[checks.Rule]]:
@@ -151,49 +154,55 @@ def quality_report(silver: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def gold_dimensions(silver: Mapping[str, DataFrame], reasons: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """All dimensions, one row per applicant, lazily."""
-    by_credit = marts.status_by_credit(silver["bureau_balance"])
-    return {
-        "bureau": marts.dim_bureau(silver["bureau"], by_credit),
-        "previous_application": marts.dim_previous_application(
-            silver["previous_application"], reasons=reasons
-        ),
-        "installments_agg": marts.dim_installments_agg(silver["installments_payments"]),
-        "credit_card_agg": marts.dim_credit_card_agg(silver["credit_card_balance"]),
-        "pos_cash_agg": marts.dim_pos_cash_agg(silver["POS_CASH_balance"]),
-    }
+def gold_dimensions(silver: Mapping[str, DataFrame], reasons: Sequence[str] = ()) -> LazyTables:
+    """All dimensions, one row per applicant."""
+    return LazyTables(
+        {
+            "bureau": lambda: marts.dim_bureau(
+                silver["bureau"], marts.status_by_credit(silver["bureau_balance"])
+            ),
+            "previous_application": lambda: marts.dim_previous_application(
+                silver["previous_application"], reasons=reasons
+            ),
+            "installments_agg": lambda: marts.dim_installments_agg(silver["installments_payments"]),
+            "credit_card_agg": lambda: marts.dim_credit_card_agg(silver["credit_card_balance"]),
+            "pos_cash_agg": lambda: marts.dim_pos_cash_agg(silver["POS_CASH_balance"]),
+        }
+    )
 
 
-def gold_tables(silver: Mapping[str, DataFrame], reasons: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The star schema: ``dim_*`` and ``fact_application``, lazily."""
+def gold_tables(silver: Mapping[str, DataFrame], reasons: Sequence[str] = ()) -> LazyTables:
+    """The star schema: ``dim_*`` and ``fact_application``."""
     dims = gold_dimensions(silver, reasons)
-    fact = marts.fact_application(silver["application"], dims)
-    return {**{f"dim_{name}": df for name, df in dims.items()}, "fact_application": fact}
+    builders = {f"dim_{name}": lambda name=name: dims[name] for name in dims}
+    return LazyTables(
+        {**builders, "fact_application": lambda: marts.fact_application(silver["application"], dims)}
+    )
 
 
 def run_pipeline(
     spark: SparkSession,
     specs: Sequence[TableSpec],
-    catalog: str = "spark_catalog",
     fmt: str = "parquet",
     reasons: Sequence[str] = (),
     buckets: int | None = None,
     at_a_time: int = 1,
 ) -> dict[str, int]:
-    """Landing to star schema in one call; returns the rows written per table.
+    """Landing to star schema in one call; returns the rows written per table. All specs share
+    one catalog and schema prefix.
 
     Each layer reads the stored tables of the one before, so a lost executor costs the work of
     one table at most. With ``buckets`` the applications and dimensions, which are unique on the
     applicant, are stored bucketed by it, and the fact joins them without an exchange.
     """
-    ensure_schemas(spark, catalog)
+    catalog, prefix = specs[0].catalog, specs[0].schema_prefix
+    ensure_schemas(spark, catalog, prefix=prefix)
     rows = {f"bronze.{t}": n for t, n in ingest_all(spark, specs, fmt, at_a_time).items()}
     bronze = {spec.table: spark.table(spec.target_table) for spec in specs}
     per_applicant = (buckets, "SK_ID_CURR") if buckets else None
 
     def store(job_type, layer: str, name: str, df: DataFrame, rules=(), bucketed: bool = False) -> DataFrame:
-        target = f"{catalog}.{layer}.{name}"
+        target = f"{catalog}.{prefix}{layer}.{name}"
         job = job_type(spark, target, lambda: df, rules, fmt, per_applicant if bucketed else None)
         job.run()
         rows[f"{layer}.{name}"] = job.rows_written

@@ -27,13 +27,15 @@ class TableSpec:
     """One source table: where it is landed and under which name it is stored.
 
     ``landing_root`` is any URI or path Spark can read; the table gets a directory below it.
-    ``landing_path_override`` replaces the derived path as a whole.
+    ``landing_path_override`` replaces the derived path as a whole. ``schema_prefix`` keeps a
+    second set of layers apart, for example ``trial_``.
     """
 
     table: str
     catalog: str = "spark_catalog"
     landing_root: str | None = None
     landing_path_override: str | None = None
+    schema_prefix: str = ""
 
     @property
     def landing_path(self) -> str:
@@ -49,11 +51,14 @@ class TableSpec:
 
     def table_in(self, layer: str) -> str:
         """Three-part name of this table in a medallion schema."""
-        return f"{self.catalog}.{layer}.{self.table}"
+        return f"{self.catalog}.{self.schema_prefix}{layer}.{self.table}"
 
 
 def table_specs(
-    landing_root: str, catalog: str = "spark_catalog", tables: tuple[str, ...] = TABLES
+    landing_root: str,
+    catalog: str = "spark_catalog",
+    tables: tuple[str, ...] = TABLES,
+    schema_prefix: str = "",
 ) -> list[TableSpec]:
     """Specs of several tables landed below one root."""
-    return [TableSpec(table=t, catalog=catalog, landing_root=landing_root) for t in tables]
+    return [TableSpec(t, catalog, landing_root, schema_prefix=schema_prefix) for t in tables]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,11 +13,17 @@ LAYERS = ("bronze", "silver", "gold")
 
 
 def ensure_schemas(
-    spark: SparkSession, catalog: str = "spark_catalog", layers: Sequence[str] = LAYERS
+    spark: SparkSession,
+    catalog: str = "spark_catalog",
+    layers: Sequence[str] = LAYERS,
+    prefix: str = "",
+    location: str | None = None,
 ) -> None:
-    """Create the medallion schemas; safe to repeat."""
+    """Create the medallion schemas, safe to repeat. ``location`` holds their managed tables
+    instead of the warehouse folder."""
     for layer in layers:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {catalog}.{layer}")
+        place = f" LOCATION '{location}/{prefix}{layer}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {catalog}.{prefix}{layer}{place}")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -63,13 +70,13 @@ def write_table(
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder for the tables of one run, below the shared one named in ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of this machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return f"{named.rstrip('/')}/credit-marts-{uuid.uuid4().hex}"
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix="credit-marts-")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
