@@ -1,6 +1,7 @@
 """Column expressions. Each takes and returns ``Column`` and stays inside codegen."""
 
 from credit_marts.functions.amounts import grant_gap, half_up_percent, ratio, underpaid
+from credit_marts.functions.casts import safe_cast
 from credit_marts.functions.days import (
     age_years,
     days_to_years,
@@ -20,6 +21,7 @@ __all__ = [
     "is_missed",
     "payment_delay",
     "ratio",
+    "safe_cast",
     "status_severity",
     "underpaid",
 ]

@@ -20,21 +20,13 @@ from credit_marts.functions import (
     is_missed,
     payment_delay,
     ratio,
+    safe_cast,
     status_severity,
 )
 
 
 def _typed(df: DataFrame, column: str, target: str) -> Column:
-    """``column`` as ``target``, NULL where the value has no such form (never a cut-off number)."""
-    value = F.col(column)
-    converted = value.try_cast(target)
-    if isinstance(df.schema[column].dataType, T.FractionalType) and _is_whole(target):
-        return F.when(value == converted, converted)
-    return converted
-
-
-def _is_whole(target: str) -> bool:
-    return target.lower() in {"byte", "tinyint", "short", "smallint", "int", "integer", "bigint", "long"}
+    return safe_cast(F.col(column), df.schema[column].dataType, target)
 
 
 def standardize_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

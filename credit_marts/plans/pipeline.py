@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -208,16 +209,25 @@ def run_pipeline(
         rows[f"{layer}.{name}"] = job.rows_written
         return spark.table(target)
 
-    to_silver, to_gold = partial(store, SilverJob, "silver"), partial(store, GoldJob, "gold")
-    rules = silver_rules()
-    silver = {
-        name: to_silver(name, df, rules.get(name, ()), bucketed=name == "application")
-        for name, df in silver_tables(bronze).items()
-    }
-    to_silver("quality_report", quality_report(silver))
-    dims = {
-        name: to_gold(f"dim_{name}", df, [checks.not_null("SK_ID_CURR")], bucketed=True)
-        for name, df in gold_dimensions(silver, reasons).items()
-    }
-    to_gold("fact_application", marts.fact_application(silver["application"], dims))
+    def store_all(job_type, layer: str, tables: Mapping[str, DataFrame], rules, bucketed) -> dict[str, DataFrame]:
+        """Store tables that do not depend on each other, ``at_a_time`` of them together."""
+
+        def one(name: str) -> tuple[str, DataFrame]:
+            return name, store(job_type, layer, name, tables[name], rules.get(name, ()), name in bucketed)
+
+        with ThreadPoolExecutor(max_workers=at_a_time) as pool:
+            return dict(pool.map(one, tables))
+
+    silver = store_all(SilverJob, "silver", silver_tables(bronze), silver_rules(), {"application"})
+    dims = gold_dimensions(silver, reasons)
+    named = LazyTables({f"dim_{name}": partial(dims.get, name) for name in dims})
+    stored = store_all(GoldJob, "gold", named, {}, set(named))
+    store(SilverJob, "silver", "quality_report", quality_report(silver))
+    fact = marts.fact_application(silver["application"], {n: stored[f"dim_{n}"] for n in dims})
+    store(GoldJob, "gold", "fact_application", fact, bucketed=True)
+    preserved = checks.row_preservation(
+        spark.table(f"{catalog}.{prefix}gold.fact_application"), silver["application"], "SK_ID_CURR"
+    ).first()
+    if not preserved["is_preserved"]:
+        raise checks.CheckFailed(f"the fact does not have the rows of the applications: {preserved.asDict()}")
     return rows

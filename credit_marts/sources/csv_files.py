@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from credit_marts.functions import safe_cast
 from credit_marts.sources.tables import write_table
 
 # An unquoted empty field is NULL; a quoted empty field and the text NA are values. Spark reads
@@ -64,7 +65,7 @@ def infer_types(spark: SparkSession, path: str, sample_rows: int | None = 10_000
     sample = text if sample_rows is None else text.limit(sample_rows)
 
     def fits(column: str, data_type: str) -> Column:
-        return F.count(F.col(f"`{column}`").try_cast(data_type))
+        return F.count(safe_cast(F.col(f"`{column}`"), T.StringType(), data_type))
 
     checks = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(text.columns):

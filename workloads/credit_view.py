@@ -7,11 +7,14 @@ SQL that Spark and DuckDB share; only the day difference differs and is passed i
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from credit_marts.plans.lazy import LazyTables
+
 Days = Callable[[str, str], str]
 
 
@@ -166,29 +169,23 @@ def columns(days: Days) -> dict[str, tuple[str, str | None, dict[str, str]]]:
     }
 
 
-class CreditTables(Mapping[str, DataFrame]):
+class CreditTables(LazyTables):
     """The credit tables as DataFrames, each read when it is asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir, self.defined = spark, sf_dir, columns(spark_days)
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    def __getitem__(self, name: str) -> DataFrame:
-        source, condition, exprs = self.defined[name]
-        if " JOIN " in source:
-            df = self.read("lineitem").join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        else:
-            df = self.read(source)
-        df = df.where(condition) if condition else df
-        return df.selectExpr(*[f"{e} AS {n}" for n, e in exprs.items()])
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(self.defined)
-
-    def __len__(self) -> int:
-        return len(self.defined)
+        def read(name: str) -> DataFrame:
+            return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+        def derive(source: str, condition: str | None, exprs: dict[str, str]) -> DataFrame:
+            if " JOIN " in source:
+                df = read("lineitem").join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            else:
+                df = read(source)
+            df = df.where(condition) if condition else df
+            return df.selectExpr(*[f"{e} AS {n}" for n, e in exprs.items()])
+
+        defined = columns(spark_days)
+        super().__init__({name: partial(derive, *definition) for name, definition in defined.items()})
 
 
 def with_credit_tables(select: str) -> str:
