@@ -9,6 +9,7 @@ from credit_marts.plans.profiles import (
     profile_query,
     profiles,
     run_all,
+    table_questions,
 )
 
 __all__ = [
@@ -27,4 +28,5 @@ __all__ = [
     "run_all",
     "run_pipeline",
     "silver_tables",
+    "table_questions",
 ]

@@ -41,7 +41,7 @@ def jdbc_options(
     options = {"url": url, "dbtable": quoted(table), "fetchsize": str(fetch_rows), **(connection or {})}
     if split:
         options |= {
-            "partitionColumn": quoted(split.column),
+            "partitionColumn": split.column,  # Spark quotes it
             "lowerBound": str(split.low),
             "upperBound": str(split.high),
             "numPartitions": str(split.tasks),
