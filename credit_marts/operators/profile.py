@@ -178,6 +178,12 @@ def orphan_count(child: DataFrame, key: str, parents: Sequence[Parent]) -> DataF
     return orphan_keys(child, key, parents).agg(total.alias(f"orphan_{key.lower()}_count"))
 
 
+def orphan_counts(child: DataFrame, references: Mapping[str, Sequence[Parent]]) -> DataFrame:
+    """``orphan_count`` of several keys of one table, side by side in one row."""
+    counts = [orphan_count(child, key, parents) for key, parents in references.items()]
+    return child.sparkSession.range(1).select(*[c.scalar().alias(c.columns[0]) for c in counts])
+
+
 def orphans(child: DataFrame, key: str, parents: Sequence[Parent]) -> DataFrame:
     """The rows whose key is in none of the parents, including those with a NULL key.
 

@@ -124,6 +124,16 @@ def test_orphans(mini, child, key, found_in, expected):
     assert rows.columns == mini[child].columns
 
 
+def test_orphan_counts_side_by_side(mini):
+    refs = {
+        "SK_ID_PREV": parents(mini, "previous_application", key="SK_ID_PREV"),
+        "SK_ID_CURR": parents(mini, *APPLICATIONS, key="SK_ID_CURR"),
+    }
+    assert one(p.orphan_counts(mini["installments_payments"], refs)) == {
+        "orphan_sk_id_prev_count": 1, "orphan_sk_id_curr_count": 0,
+    }
+
+
 def test_links_cover_every_reference():
     assert len(LINKS) == len(set(LINKS)) == 9
 

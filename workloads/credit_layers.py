@@ -13,6 +13,7 @@ from credit_marts.operators.conform import unify_applications
 from credit_marts.plans import pipeline
 from credit_marts.sources import ensure_schemas, land, table_specs, work_dir
 from workloads.credit_view import CreditTables, with_credit_tables
+from workloads.native import mean_as_sum
 from workloads.sql import percent
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,14 +24,16 @@ AGE_BANDS = (30, 45, 60)
 
 
 def _rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
-    """Sums and means of amounts rounded, as their last digits depend on the order of addition."""
+    """Sums and means of amounts rounded, as their last digits depend on the order of addition.
+    The mean grant gap is shown as a sum, whose cents never fall between two roundings."""
+    if "previous_grant_gap_mean" in df.columns:
+        df = mean_as_sum(df, "previous_grant_gap_mean", "previous_count")
     return df.withColumns({c: F.round(c, n) for c, n in digits.items() if c in df.columns})
 
 
 DIGITS = {
     "building_mean": 8,
     "bureau_debt_sum": 2,
-    "previous_grant_gap_mean": 3,
     "instalment_paid_sum": 4,
     "card_utilization_mean": 6,
 }
@@ -150,7 +153,7 @@ GOLD_SQL = {
             count(*) FILTER (WHERE CODE_REJECT_REASON = '1-URGENT') AS previous_reason_1_urgent_count,
             count(*) FILTER (WHERE CODE_REJECT_REASON = '5-LOW') AS previous_reason_5_low_count,
             count(*) FILTER (WHERE CODE_REJECT_REASON = 'XAP') AS previous_reason_xap_count,
-            round(avg(grant_gap), 3) AS previous_grant_gap_mean
+            round(sum(grant_gap), 2) AS previous_grant_gap_sum
         FROM s_previous_application GROUP BY SK_ID_CURR""",
     "dim_installments_agg": """
         SELECT SK_ID_CURR, count(*) AS instalment_count, CAST(sum(is_missed) AS BIGINT) AS instalment_missed_count,

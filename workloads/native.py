@@ -177,6 +177,27 @@ PROFILE: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
             ],
         ),
     ),
+    "orphan_counts": (
+        lambda t: profile.orphan_counts(
+            t.lineitem,
+            {
+                "l_orderkey": [profile.Parent(t.events, "event_id")],
+                "l_partkey": [profile.Parent(t.supplier, "s_suppkey"), profile.Parent(_building(t), "c_custkey")],
+            },
+        ),
+        "SELECT * FROM ("
+        + sql.orphan_count("lineitem", "l_orderkey", [("events", "event_id")])
+        + "), ("
+        + sql.orphan_count(
+            "lineitem",
+            "l_partkey",
+            [
+                ("supplier", "s_suppkey"),
+                ("(SELECT * FROM customer WHERE c_mktsegment = 'BUILDING')", "c_custkey"),
+            ],
+        )
+        + ")",
+    ),
     "orphan_rows": (
         lambda t: profile.orphans(
             t.events.select("event_id", F.nullif("user_id", F.lit(3)).alias("user_id")),
