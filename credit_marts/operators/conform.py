@@ -23,6 +23,7 @@ from credit_marts.functions import (
     safe_cast,
     status_severity,
 )
+from credit_marts.sources import land, work_dir
 
 
 def _typed(df: DataFrame, column: str, target: str) -> Column:
@@ -91,6 +92,29 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> D
     return first.unionAll(df.where(incomplete))
 
 
+def dedup_rare(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), most_keys: int = 100_000
+) -> DataFrame:
+    """``dedup`` for a wide table in which few keys repeat, without exchanging its rows.
+
+    A first job counts the keys alone and stores the repeated ones in the shared work folder.
+    None: the table is returned as it is. Up to ``most_keys``: they are broadcast, rows with
+    another key stay where they are and only those with a repeated key are ranked. More: ``dedup``.
+    """
+    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    counted = df.where(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    folder = work_dir(df.sparkSession)
+    found = land(counted.where("_rows > 1").select(*keys), folder, "repeated_keys")
+    if found == 0:
+        return df
+    if found > most_keys:
+        return dedup(df, keys, order)
+    repeated = F.broadcast(df.sparkSession.read.parquet(f"{folder}/repeated_keys"))
+    single = df.join(repeated, list(keys), "left_anti").select(*df.columns)
+    several = df.join(repeated, list(keys), "left_semi").select(*df.columns)
+    return single.unionAll(dedup(several, keys, order))
+
+
 def drop_full_duplicates(df: DataFrame) -> DataFrame:
     """Rows that are equal in every column kept once. For events whose key may repeat."""
     return df.distinct()

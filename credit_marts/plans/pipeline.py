@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
@@ -32,6 +32,8 @@ INSTALMENT_KEY = ("SK_ID_PREV", "NUM_INSTALMENT_NUMBER", "NUM_INSTALMENT_VERSION
 # Tables that reach the applicant directly and through an earlier application.
 TWO_ROUTES = ("POS_CASH_balance", "credit_card_balance", "installments_payments")
 
+Dedup = Callable[..., DataFrame]
+
 
 def offset_types(df: DataFrame) -> dict[str, str]:
     """Day and month offsets and counts are whole numbers, whatever type the source gave them."""
@@ -48,33 +50,33 @@ def _prepared(df: DataFrame, sentinels: Sequence[str] = (), policy: Mapping[str,
     return conform.null_policy(df, _present(df, policy or {}))
 
 
-def silver_application(train: DataFrame, test: DataFrame) -> DataFrame:
+def silver_application(train: DataFrame, test: DataFrame, dedup: Dedup = conform.dedup) -> DataFrame:
     """Both samples in one table with age, debt burden and the building block as one."""
     df = _prepared(
         conform.unify_applications(train, test),
         sentinels=["DAYS_EMPLOYED"],
         policy=dict.fromkeys(("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"), "flag"),
     )
-    df = conform.dedup(df, SILVER_KEYS["application"], [F.col("is_train").desc()])
+    df = dedup(df, SILVER_KEYS["application"], [F.col("is_train").desc()])
     df = conform.add_ratio(conform.add_age(df), "AMT_CREDIT", "AMT_INCOME_TOTAL", "debt_burden")
     block = conform.block_columns(df, r"\w+_AVG")
     return conform.building_block(df, block) if block else df
 
 
-def silver_previous_application(df: DataFrame) -> DataFrame:
+def silver_previous_application(df: DataFrame, dedup: Dedup = conform.dedup) -> DataFrame:
     df = _prepared(df, sentinels=["DAYS_FIRST_DRAWING"])
-    return conform.add_grant_gap(conform.dedup(df, SILVER_KEYS["previous_application"]))
+    return conform.add_grant_gap(dedup(df, SILVER_KEYS["previous_application"]))
 
 
 def silver_bureau_balance(df: DataFrame) -> DataFrame:
     return conform.add_status_severity(conform.dedup(_prepared(df), SILVER_KEYS["bureau_balance"]))
 
 
-def silver_credit_card_balance(df: DataFrame) -> DataFrame:
+def silver_credit_card_balance(df: DataFrame, dedup: Dedup = conform.dedup) -> DataFrame:
     """No drawing recorded means nothing was drawn."""
     drawings = [c for c in df.columns if re.match(r"(AMT|CNT)_DRAWINGS_", c)]
     df = _prepared(df, policy=dict.fromkeys(drawings, "zero"))
-    df = conform.dedup(df, SILVER_KEYS["credit_card_balance"])
+    df = dedup(df, SILVER_KEYS["credit_card_balance"])
     return conform.add_ratio(df, "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "utilization")
 
 
@@ -84,18 +86,21 @@ def silver_installments(df: DataFrame) -> DataFrame:
     return conform.add_payment_delay(conform.drop_full_duplicates(_prepared(df)))
 
 
-def silver_tables(bronze: Mapping[str, DataFrame]) -> LazyTables:
-    """All conformed tables."""
+def silver_tables(bronze: Mapping[str, DataFrame], dedup: Dedup = conform.dedup) -> LazyTables:
+    """All conformed tables. ``dedup`` keeps one row per key in the wide ones; the narrow table of
+    monthly statuses is nothing but key and status, so it always exchanges its rows."""
     return LazyTables(
         {
-            "application": lambda: silver_application(bronze["application_train"], bronze["application_test"]),
-            "bureau": lambda: conform.dedup(_prepared(bronze["bureau"]), SILVER_KEYS["bureau"]),
+            "application": lambda: silver_application(
+                bronze["application_train"], bronze["application_test"], dedup
+            ),
+            "bureau": lambda: dedup(_prepared(bronze["bureau"]), SILVER_KEYS["bureau"]),
             "bureau_balance": lambda: silver_bureau_balance(bronze["bureau_balance"]),
-            "previous_application": lambda: silver_previous_application(bronze["previous_application"]),
-            "POS_CASH_balance": lambda: conform.dedup(
+            "previous_application": lambda: silver_previous_application(bronze["previous_application"], dedup),
+            "POS_CASH_balance": lambda: dedup(
                 _prepared(bronze["POS_CASH_balance"]), SILVER_KEYS["POS_CASH_balance"]
             ),
-            "credit_card_balance": lambda: silver_credit_card_balance(bronze["credit_card_balance"]),
+            "credit_card_balance": lambda: silver_credit_card_balance(bronze["credit_card_balance"], dedup),
             "installments_payments": lambda: silver_installments(bronze["installments_payments"]),
         }
     )
@@ -218,7 +223,7 @@ def run_pipeline(
         with ThreadPoolExecutor(max_workers=at_a_time) as pool:
             return dict(pool.map(one, tables))
 
-    silver = store_all(SilverJob, "silver", silver_tables(bronze), silver_rules(), {"application"})
+    silver = store_all(SilverJob, "silver", silver_tables(bronze, conform.dedup_rare), silver_rules(), {"application"})
     dims = gold_dimensions(silver, reasons)
     named = LazyTables({f"dim_{name}": partial(dims.get, name) for name in dims})
     stored = store_all(GoldJob, "gold", named, {}, set(named))

@@ -1,7 +1,7 @@
 """Conforming: types, sentinels, NULLs, duplicates, derived columns."""
 
 import pytest
-from conftest import by, one
+from conftest import by, one, plan_of
 from pyspark.sql import functions as F
 
 from credit_marts.functions import days_to_years, safe_cast
@@ -72,6 +72,36 @@ def test_dedup_order(spark):
     assert sorted((r.k or 0, r.t, r.v) for r in out.collect()) == [(0, 1, "y"), (0, 1, "y"), (1, 9, "a"), (2, 1, "x")]
 
 
+@pytest.mark.parametrize("most_keys", [0, 40, 100_000])
+def test_dedup_rare_equals_dedup(spark, most_keys):
+    """No key, few keys and many keys repeated; one of them very often; NULL keys."""
+    rows = [(None if i % 50 == 0 else 7 if i % 3 == 0 else i % 1000, i % 2, i % 5, f"v{i % 7}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "k bigint, m bigint, t bigint, v string").repartition(5)
+    order = [F.col("t").desc()]
+    plain = sorted(map(str, c.dedup(df, ["k", "m"], order).collect()))
+    assert sorted(map(str, c.dedup_rare(df, ["k", "m"], order, most_keys).collect())) == plain
+    expected = {}
+    for k, m, t, v in rows:
+        if k is not None and ((k, m) not in expected or (-t, v) < expected[(k, m)]):
+            expected[(k, m)] = (-t, v)
+    nulls = sum(k is None for k, *_ in rows)
+    assert len(plain) == len(expected) + nulls
+    assert {(r.k, r.m): (-r.t, r.v) for r in c.dedup(df, ["k", "m"], order).collect() if r.k is not None} == expected
+
+
+def test_dedup_rare_leaves_a_clean_table_alone(spark):
+    df = spark.range(100)
+    assert c.dedup_rare(df, ["id"]) is df
+
+
+def test_dedup_rare_does_not_exchange_rows_with_single_keys(spark):
+    df = spark.range(100).selectExpr("id AS k", "id AS v").unionAll(spark.createDataFrame([(5, 1)], "k bigint, v bigint"))
+    out = c.dedup_rare(df, ["k"])
+    assert out.count() == 100
+    single = plan_of(out).split("LeftSemi")[0].split("WindowGroupLimit")[0].split(":- ")[1]
+    assert "Exchange hashpartitioning" not in single.split("Window")[0]
+
+
 def test_drop_full_duplicates_keeps_partial_payments(mini):
     df = mini["installments_payments"]
     assert c.drop_full_duplicates(df).count() == 6

@@ -319,6 +319,14 @@ CONFORM: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
         "l_shipdate DESC, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
         "l_linestatus) = 1",
     ),
+    "dedup_rare": (
+        lambda t: conform.dedup_rare(
+            t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey"], [F.col("l_shipdate").desc()]
+        ),
+        "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey ORDER BY "
+        "l_shipdate DESC, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
+        "l_linestatus) = 1",
+    ),
     "dedup_null_keys": (
         lambda t: conform.dedup(
             t.lineitem.select(F.nullif("l_suppkey", F.lit(7)).alias("k"), "l_partkey", "l_shipdate"), ["k"]
