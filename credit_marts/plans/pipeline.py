@@ -203,7 +203,7 @@ def run_pipeline(
     """
     catalog, prefix = specs[0].catalog, specs[0].schema_prefix
     ensure_schemas(spark, catalog, prefix=prefix)
-    rows = {f"bronze.{t}": n for t, n in ingest_all(spark, specs, fmt, at_a_time).items()}
+    rows = {f"bronze.{t}": n for t, n in ingest_all(spark, specs, fmt, at_a_time, verify=True).items()}
     bronze = {spec.table: spark.table(spec.target_table) for spec in specs}
     per_applicant = (buckets, "SK_ID_CURR") if buckets else None
 

@@ -9,6 +9,7 @@ from credit_marts.sources import (
     infer_types,
     jdbc_options,
     land,
+    land_all,
     named_types,
     read_csv,
     read_table,
@@ -129,3 +130,23 @@ def test_jdbc_options():
         "partitionColumn": "SK_ID_PREV", "lowerBound": "1", "upperBound": "100", "numPartitions": "4",
     }
     assert "partitionColumn" not in jdbc_options("jdbc:x", "t")
+
+
+def test_land_all_reads_each_table_and_lands_it(spark, tmp_path, monkeypatch):
+    """Without a database: the read is replaced, its arguments are checked."""
+    asked = []
+
+    def read(session, url, table, split=None, **kw):
+        asked.append((url, table, split, kw))
+        return session.range(len(asked))
+
+    monkeypatch.setattr("credit_marts.sources.jdbc.read_jdbc", read)
+    split = KeyRange("SK_ID_PREV", 1, 9)
+    rows = land_all(
+        spark, "jdbc:x", str(tmp_path), ["bureau", "POS_CASH_balance"], {"POS_CASH_balance": split}, fetch_rows=5
+    )
+    assert rows == {"bureau": 1, "POS_CASH_balance": 2}
+    assert asked == [
+        ("jdbc:x", "bureau", None, {"fetch_rows": 5}), ("jdbc:x", "POS_CASH_balance", split, {"fetch_rows": 5}),
+    ]
+    assert spark.read.parquet(str(tmp_path / "POS_CASH_balance")).count() == 2
