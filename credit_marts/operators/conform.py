@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -92,14 +92,14 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> D
     return first.unionAll(df.where(incomplete))
 
 
-def dedup_rare(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), most_keys: int = 100_000
+def _resolve_repeated(
+    df: DataFrame, keys: Sequence[str], resolve: Callable[[DataFrame], DataFrame], most_keys: int
 ) -> DataFrame:
-    """``dedup`` for a wide table in which few keys repeat, without exchanging its rows.
+    """``resolve`` applied to the rows whose key repeats, the other rows left where they are.
 
     A first job counts the keys alone and stores the repeated ones in the shared work folder.
-    None: the table is returned as it is. Up to ``most_keys``: they are broadcast, rows with
-    another key stay where they are and only those with a repeated key are ranked. More: ``dedup``.
+    None: the table is returned as it is. Up to ``most_keys``: they are broadcast. More:
+    ``resolve`` gets the whole table. A row with a NULL key part is never a repeated one.
     """
     complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     counted = df.where(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -108,11 +108,19 @@ def dedup_rare(
     if found == 0:
         return df
     if found > most_keys:
-        return dedup(df, keys, order)
+        return resolve(df)
     repeated = F.broadcast(df.sparkSession.read.parquet(f"{folder}/repeated_keys"))
     single = df.join(repeated, list(keys), "left_anti").select(*df.columns)
     several = df.join(repeated, list(keys), "left_semi").select(*df.columns)
-    return single.unionAll(dedup(several, keys, order))
+    return single.unionAll(resolve(several))
+
+
+def dedup_rare(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), most_keys: int = 1_000_000
+) -> DataFrame:
+    """``dedup`` for a wide table in which few keys repeat: only the keys are exchanged, and only
+    rows with a repeated key are ranked."""
+    return _resolve_repeated(df, keys, lambda rows: dedup(rows, keys, order), most_keys)
 
 
 def drop_full_duplicates(df: DataFrame) -> DataFrame:
@@ -120,6 +128,13 @@ def drop_full_duplicates(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def drop_full_duplicates_rare(df: DataFrame, most_keys: int = 1_000_000) -> DataFrame:
+    """``drop_full_duplicates`` for a wide table with few of them: one hash per row is exchanged,
+    and only rows with a repeated hash, equal or not, are compared in full."""
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    return _resolve_repeated(hashed, ["_hash"], DataFrame.distinct, most_keys).drop("_hash")
+
+
 def unify_applications(
     train: DataFrame, test: DataFrame, target: str = "TARGET", flag: str = "is_train"
 ) -> DataFrame:

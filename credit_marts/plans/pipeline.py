@@ -80,15 +80,18 @@ def silver_credit_card_balance(df: DataFrame, dedup: Dedup = conform.dedup) -> D
     return conform.add_ratio(df, "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "utilization")
 
 
-def silver_installments(df: DataFrame) -> DataFrame:
+def silver_installments(df: DataFrame, distinct: Dedup = conform.drop_full_duplicates) -> DataFrame:
     """One installment may be paid in several payments, so only full duplicates go, and missed
     payments stay NULL."""
-    return conform.add_payment_delay(conform.drop_full_duplicates(_prepared(df)))
+    return conform.add_payment_delay(distinct(_prepared(df)))
 
 
-def silver_tables(bronze: Mapping[str, DataFrame], dedup: Dedup = conform.dedup) -> LazyTables:
-    """All conformed tables. ``dedup`` keeps one row per key in the wide ones; the narrow table of
-    monthly statuses is nothing but key and status, so it always exchanges its rows."""
+def silver_tables(bronze: Mapping[str, DataFrame], rare_duplicates: bool = False) -> LazyTables:
+    """All conformed tables. With ``rare_duplicates`` building a wide one runs a job that looks for
+    its duplicates by key or hash, so that its rows are not exchanged for the few there are; the
+    monthly statuses are nothing but key and status and gain nothing from that."""
+    dedup = conform.dedup_rare if rare_duplicates else conform.dedup
+    distinct = conform.drop_full_duplicates_rare if rare_duplicates else conform.drop_full_duplicates
     return LazyTables(
         {
             "application": lambda: silver_application(
@@ -101,7 +104,7 @@ def silver_tables(bronze: Mapping[str, DataFrame], dedup: Dedup = conform.dedup)
                 _prepared(bronze["POS_CASH_balance"]), SILVER_KEYS["POS_CASH_balance"]
             ),
             "credit_card_balance": lambda: silver_credit_card_balance(bronze["credit_card_balance"], dedup),
-            "installments_payments": lambda: silver_installments(bronze["installments_payments"]),
+            "installments_payments": lambda: silver_installments(bronze["installments_payments"], distinct),
         }
     )
 
@@ -223,7 +226,7 @@ def run_pipeline(
         with ThreadPoolExecutor(max_workers=at_a_time) as pool:
             return dict(pool.map(one, tables))
 
-    silver = store_all(SilverJob, "silver", silver_tables(bronze, conform.dedup_rare), silver_rules(), {"application"})
+    silver = store_all(SilverJob, "silver", silver_tables(bronze, rare_duplicates=True), silver_rules(), {"application"})
     dims = gold_dimensions(silver, reasons)
     named = LazyTables({f"dim_{name}": partial(dims.get, name) for name in dims})
     stored = store_all(GoldJob, "gold", named, {}, set(named))

@@ -89,6 +89,17 @@ def test_dedup_rare_equals_dedup(spark, most_keys):
     assert {(r.k, r.m): (-r.t, r.v) for r in c.dedup(df, ["k", "m"], order).collect() if r.k is not None} == expected
 
 
+@pytest.mark.parametrize("most_keys", [0, 40, 100_000])
+def test_drop_full_duplicates_rare(spark, most_keys):
+    rows = [(None if i % 9 == 0 else i % 300, float(i % 2) * -0.0 if i % 4 else 0.0, f"v{i % 5}") for i in range(900)]
+    df = spark.createDataFrame(rows, "k bigint, x double, v string").repartition(5)
+    plain = sorted(map(str, c.drop_full_duplicates(df).collect()))
+    found = c.drop_full_duplicates_rare(df, most_keys)
+    assert found.columns == df.columns
+    assert sorted(str(r).replace("-0.0", "0.0") for r in found.collect()) == [r.replace("-0.0", "0.0") for r in plain]
+    assert len(plain) == len({(k, x, v) for k, x, v in rows})
+
+
 def test_dedup_rare_leaves_a_clean_table_alone(spark):
     df = spark.range(100)
     assert c.dedup_rare(df, ["id"]) is df

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
 
 # Writing queries are covered by their results; planning them would store tables.
-PLANNED = sorted(set(entry.queries()) - {"ingest_roundtrip", "layers_end_to_end", "dedup_rare"})
+PLANNED = sorted(set(entry.queries()) - {"ingest_roundtrip", "layers_end_to_end", "dedup_rare", "drop_full_duplicates_rare"})
 
 
 @contextmanager

@@ -338,6 +338,10 @@ CONFORM: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
         lambda t: conform.drop_full_duplicates(t.lineitem.select("l_suppkey", "l_linenumber", "l_returnflag")),
         "SELECT DISTINCT l_suppkey, l_linenumber, l_returnflag FROM lineitem",
     ),
+    "drop_full_duplicates_rare": (
+        lambda t: conform.drop_full_duplicates_rare(t.events.select("user_id", "event_type", "value")),
+        "SELECT DISTINCT user_id, event_type, value FROM events",
+    ),
     "unify_splits": (
         lambda t: conform.unify_applications(
             t.customer.where("c_mktsegment <> 'BUILDING'"), _building(t).drop("c_acctbal"), target="c_acctbal"
