@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from credit_marts.llm.common import arrow_map, slices, texts
@@ -296,6 +297,16 @@ def encoder(ranks_path: str, pattern: str) -> UnitIds:
     return _made[ranks_path, pattern]
 
 
+def library_encoder(ranks_path: str, pattern: str) -> UnitIds:
+    """The same ids by a public library, for operators whose own method lies elsewhere."""
+    if (ranks_path, pattern, "library") not in _made:
+        ranks = read_ranks(ranks_path)
+        by = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        wide = "<u2" if max(ranks.values(), default=0) < 2**16 else "<u4"
+        _made[ranks_path, pattern, "library"] = UnitIds(by.encode_ordinary, wide)
+    return _made[ranks_path, pattern, "library"]
+
+
 class Utf8Machine:
     """UTF-8 decoding token by token: the state holds the bytes of an unfinished character.
 

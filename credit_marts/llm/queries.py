@@ -6,26 +6,117 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from credit_marts.llm import byte_bpe
+from credit_marts.llm import (
+    byte_bpe,
+    cell_dedup,
+    content_sort,
+    curve_pack,
+    edit_counts,
+    jump_hash,
+    lang_masks,
+    minhash,
+    secret_crf,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _doc_id(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("id", "doc_id")
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return byte_bpe.digests(docs, RANKS, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+    """Every text encoded and decoded again."""
+    return _doc_id(byte_bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN))
+
+
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 80 of 100 four-word shingles."""
+    return _doc_id(minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets by patterns and by the random field."""
+    return _doc_id(secret_crf.scanned(table(spark, sf_dir, "documents")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _doc_id(toxicity.scored(docs, labels))
+
+
+def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts before and after four edits made of each document's own columns."""
+    size = F.coalesce(F.char_length("text"), F.lit(0))
+    third = F.floor(size / 3).cast("bigint")
+
+    def edit(start, stop, replacement):
+        return F.struct(start.alias("start"), stop.alias("stop"), replacement.alias("replacement"))
+
+    edits = F.array(
+        edit(third, third + 5, F.col("source")),
+        edit(2 * third, 2 * third, F.concat(F.lit(" "), F.col("lang"))),
+        edit(size - 7, size, F.lit(None).cast("string")),
+        edit(F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.substring("text", 1, 20)),
+    )
+    trees = edit_counts.trees(table(spark, sf_dir, "documents"), RANKS, PATTERN, keep={"edits": edits})
+    return _doc_id(edit_counts.apply_edits(trees, RANKS, PATTERN, with_text=False))
+
+
+def op6_curve_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, neighbours on the curve together."""
+    return _doc_id(curve_pack.pack(table(spark, sf_dir, "documents"), RANKS, PATTERN, with_ids=False))
+
+
+def op7_cell_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors of one label with a cosine of 0.98 or more."""
+    return cell_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents equal up to the case of A-Z."""
+    return _doc_id(content_sort.content_groups(table(spark, sf_dir, "documents")))
+
+
+def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in eight shards by their id."""
+    return _doc_id(jump_hash.sharded(table(spark, sf_dir, "documents"), shards=8))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return _doc_id(lang_masks.predicted(table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_byte_bpe": op1_byte_bpe}
+    found = (
+        op1_byte_bpe, op2_minhash_dedup, op3_secret_scan, op4_toxicity, op5_edit_counts, op6_curve_pack,
+        op7_cell_dedup, op8_content_sort, op9_jump_shards, op10_language_id,
+    )
+    return {query.__name__: query for query in found}
+
+
+_NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_content_sort": f"""
+            WITH plain AS (SELECT doc_id, {_NORMAL} AS body FROM documents),
+            grouped AS (
+                SELECT doc_id, body, max(doc_id) OVER (PARTITION BY body) AS keep_id,
+                    count(*) OVER (PARTITION BY body) AS group_size
+                FROM plain
+            )
+            SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM grouped""",
+    }
