@@ -53,7 +53,7 @@ def test_toxic_documents_go(stages, spark):
     def logit(text):  # word by word and n-gram by n-gram
         words = [toxicity.grams_of(w) for w in toxicity.words_of(text or "")]
         means = [sum(model.weights[model.grams[g]] for g in own if g in model.grams) / len(own) for own in words]
-        return toxicity.SPREAD * sum(means) / max(len(means), 1) + model.bias
+        return toxicity.SPREAD * sum(means) / (len(means) + toxicity.BLANKS) + model.bias
 
     expected = {r["doc_id"]: logit(r["text"]) for r in before.collect()}
     kept = ids(after)
