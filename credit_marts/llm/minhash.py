@@ -8,7 +8,11 @@ document stops as soon as no later rank can win a place any more.
 Documents with equal sets form a class at once. Of the classes in a bucket of equal bands, each is
 first compared with one leader; after that only members of different components are compared, so a
 group of copies costs links in proportion to its size and no possible link between components is
-left out. Links are confirmed on the full shingle sets.
+left out. Pairs whose sketches (four bits of each place
+of a longer signature, made for crowded documents only) differ in more places than those of any
+similar pair would, by more than SURE standard deviations, are no candidates; this is decided while
+a bucket is joined with itself, so that they are never written. Links are confirmed on the full
+shingle sets.
 
 Null and empty texts have no shingles and are linked with nothing. Rows with a null id are returned
 with a null component, kept and linked with nothing. Rows that share an id count as one document.
@@ -30,7 +34,10 @@ from credit_marts.llm.common import Steps, WordTable, arrow_map, slices, texts
 from credit_marts.llm.components import components
 
 BANDS, BAND_ROWS = 40, 6  # a pair at a similarity of 0.8 misses all bands with probability 5e-6
-MOST_SHINGLES = 150_000  # shingles whose orders are held at a time
+SURE = 5.0  # a pair at the threshold differs in more places with a probability below 1e-6
+PLANES = 4  # bits of each place in a sketch
+SKETCH = 960  # places of a sketch
+MOST_PLACES = 36_000_000  # places of all shingles whose orders are held at a time
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,14 +91,15 @@ def hashed_sets(lines: list[str], size: int) -> list[np.ndarray]:
 def super_minhash(sets: list[np.ndarray], places: int) -> np.ndarray:
     """Signatures, one row per set; two sets agree in a place if the same shingle won it."""
     out = np.full((len(sets), places), np.iinfo(np.uint64).max, dtype=np.uint64)
+    most = max(1, MOST_PLACES // places)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    group = (np.cumsum(sizes) - sizes) // MOST_SHINGLES
+    group = (np.cumsum(sizes) - sizes) // most
     for g in np.unique(group):
         own = np.flatnonzero((group == g) & (sizes > 0))
-        if len(own) == 1 and sizes[own[0]] > MOST_SHINGLES:  # a very long text: bids of its parts, lowest ones kept
+        if len(own) == 1 and sizes[own[0]] > most:  # a very long text: bids of its parts, lowest ones kept
             whole = sets[own[0]]
-            for i in range(0, len(whole), MOST_SHINGLES):
-                part = _bids([whole[i : i + MOST_SHINGLES]], places)
+            for i in range(0, len(whole), most):
+                part = _bids([whole[i : i + most]], places)
                 out[own[0]] = np.minimum(out[own[0]], part[0])
         elif len(own):
             out[own] = _bids([sets[i] for i in own], places)
@@ -127,6 +135,33 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """PLANES bits of every place, as rows of 64-bit words: all first bits, then all second bits, ..."""
+    bits = mixed(signatures)
+    planes = []
+    for shift in range(PLANES):
+        packed = np.packbits(((bits >> np.uint64(shift)) & np.uint64(1)).astype(np.uint8), axis=1)
+        planes.append(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.int64))
+    return np.concatenate(planes, axis=1)
+
+
+def most_differences(places: int, percent: int) -> int:
+    """In how many places the sketches of a pair at the threshold may differ."""
+    share = (1 - 0.5**PLANES) * (1 - percent / 100)
+    return int(places * share + SURE * (places * share * (1 - share)) ** 0.5)
+
+
+def may_be_close(places: int, percent: int, n_a: str, n_b: str, a: str, b: str) -> str:
+    """SQL: whether sizes and sketches (named by column) allow a pair to be similar enough."""
+    words = -(-places // 64)
+    any_bit = (
+        " | ".join(f"({a}[{i + words * plane}] ^ {b}[{i + words * plane}])" for plane in range(PLANES)) for i in range(words)
+    )
+    differ = " + ".join(f"bit_count({bits})" for bits in any_bit)
+    sizes = f"100 * least({n_a}, {n_b}) >= {percent} * greatest({n_a}, {n_b})"
+    return f"{sizes} AND {differ} <= {most_differences(places, percent)}"
+
+
 def features(docs: DataFrame, size: int, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """(id, n_shingles, set_key, bands) of the output of ``texts``. Narrow: no exchange."""
 
@@ -145,10 +180,25 @@ def features(docs: DataFrame, size: int, bands: int = BANDS, rows: int = BAND_RO
     return arrow_map(docs, batches, "id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    kept = docs.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+def sketched(docs: DataFrame, size: int) -> DataFrame:
+    """(id, text, n, sketch) of the output of ``texts``. Narrow: no exchange."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for part in slices(batch):
+                sets = hashed_sets(part["text"].to_pylist(), size)
+                sketch = sketches(super_minhash(sets, SKETCH))
+                ends = np.arange(len(sets) + 1, dtype=np.int32) * sketch.shape[1]
+                words = pa.ListArray.from_arrays(ends, np.ascontiguousarray(sketch).ravel())
+                yield pa.RecordBatch.from_arrays(
+                    [part["id"], part["text"], pa.array(map(len, sets), pa.int64()), words], ["id", "text", "n", "sketch"]
+                )
+
+    return arrow_map(docs, batches, "id bigint, text string, n bigint, sketch array<bigint>")
+
+
+def verified(pairs: DataFrame, kept: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough. ``kept`` has each id once."""
     sides = pairs.join(kept.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     sides = sides.join(kept.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -187,36 +237,39 @@ def near_duplicates(
     found = steps.store(features(lines, size, bands, rows))
     real = found.where("id IS NOT NULL AND n_shingles > 0")
     classes = steps.store(
-        real.groupBy("set_key").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+        real.groupBy("set_key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     )
     # Several classes may share the smallest id where rows share an id: they are one document.
-    banded = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "n")
-    counted = banded.groupBy("key").agg(
-        F.min("id").alias("leader"), F.min_by("n", "id").alias("leader_n"), F.count(F.lit(1)).alias("members")
-    )
+    banded = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
+    counted = banded.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("members"))
     leaders = steps.store(counted.where("members > 1").drop("members"))
     crowded = steps.store(banded.join(leaders, "key"))  # buckets with at least two classes
-    close = f"100 * least({{0}}, {{1}}) >= {percent} * greatest({{0}}, {{1}})"
-    first = crowded.where("id <> leader AND " + close.format("n", "leader_n"))
-    first = steps.store(first.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
-    links = steps.store(verified(first, lines, size, percent))
+    ids = steps.store(crowded.select("id").distinct())
+    kept = steps.store(sketched(lines.join(ids, "id", "left_semi").dropDuplicates(["id"]), size), codec="zstd")
+    about = kept.select("id", "n", "sketch")
+    close = may_be_close(SKETCH, percent, "n_a", "n_b", "sketch_a", "sketch_b")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+
+    first = crowded.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    first = first.join(side(about, "a"), "a").join(side(about, "b"), "b").where(close).select("a", "b")
+    first = steps.store(first)
+    links = steps.store(verified(first, kept, size, percent))
     united = components(links, steps)
 
-    labelled = crowded.select("key", "id", "n").join(
-        united.select(F.col("node").alias("id"), "component"), "id", "left"
-    )
+    labelled = crowded.select("key", "id").join(united.select(F.col("node").alias("id"), "component"), "id", "left")
     labelled = steps.store(labelled.withColumn("component", F.coalesce("component", "id")))
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed_up = steps.store(labelled.join(open_keys.where("low <> high").select("key"), "key", "left_semi"))
+    mixed_up = labelled.join(open_keys.where("low <> high").select("key"), "key", "left_semi")
+    mixed_up = steps.store(mixed_up.join(about, "id"))
     left, right = (
-        mixed_up.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "component")]) for side in "ab"
-    )
-    second = left.join(right, "key").where(
-        "component_a <> component_b AND id_a < id_b AND " + close.format("n_a", "n_b")
+        mixed_up.select("key", *[F.col(c).alias(n) for c, n in (
+            ("id", s), ("n", f"n_{s}"), ("sketch", f"sketch_{s}"), ("component", f"component_{s}"))]) for s in "ab"
     )
-    second = second.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    second = left.join(right, "key").where(f"component_a <> component_b AND a < b AND {close}").select("a", "b").distinct()
     second = steps.store(second.join(first, ["a", "b"], "left_anti"))
-    more = steps.store(verified(second, lines, size, percent))
+    more = steps.store(verified(second, kept, size, percent))
     united = components(links.unionAll(more), steps) if more.take(1) else united
 
     named = classes.select("set_key", "rep").join(united.select(F.col("node").alias("rep"), "component"), "rep", "left")

@@ -56,10 +56,27 @@ def test_agreement_estimates_similarity():
     assert abs((signatures[0] == signatures[1]).mean() - 0.5) < 0.06
 
 
+def differences(pair):
+    """Places in which two sketches differ, plane by plane."""
+    a, b = (np.unpackbits(row.view(np.uint8)).reshape(minhash.PLANES, -1) for row in minhash.sketches(pair))
+    return int((a != b).any(axis=0).sum())
+
+
+def test_sketches_differ_little_where_sets_do():
+    chance = np.random.default_rng(3)
+    for n in (5, 20, 300):
+        for _ in range(60):
+            whole = np.unique(chance.integers(0, 2**63, n, dtype=np.uint64))
+            pair = minhash.super_minhash([whole, whole[: -(-4 * len(whole) // 5)]], 960)  # at the threshold
+            assert differences(pair) <= minhash.most_differences(960, 80)
+    far = minhash.super_minhash([np.unique(chance.integers(0, 2**63, 300, dtype=np.uint64)) for _ in range(2)], 960)
+    assert differences(far) > 2 * minhash.most_differences(960, 80)
+
+
 def test_long_texts_are_bid_for_in_parts(monkeypatch):
     sets = [np.arange(1, 500, dtype=np.uint64), np.arange(1, 40, dtype=np.uint64)]
     whole = minhash.super_minhash(sets, 16)
-    monkeypatch.setattr(minhash, "MOST_SHINGLES", 64)
+    monkeypatch.setattr(minhash, "MOST_PLACES", 16 * 64)
     assert (minhash.super_minhash(sets, 16) == whole).all()
 
 
