@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from credit_marts.operators.profile import (
     Measure,
     Parent,
-    category_counts,
     key_profile,
     long_form,
     null_rate_aggregates,
@@ -43,29 +42,40 @@ def in_range(column: str, low: float | None = None, high: float | None = None) -
         fails = fails | (F.col(column) < low)
     if high is not None:
         fails = fails | (F.col(column) > high)
-    return Rule(f"in_range({column})", fails)
+    bounds = "..".join("" if b is None else str(b) for b in (low, high))
+    return Rule(f"in_range({column}, {bounds})", fails)
 
 
 def in_set(column: str, values: Sequence[object]) -> Rule:
     return Rule(f"in_set({column})", ~F.col(column).isin(*values))
 
 
+def rule_counts(rules: Sequence[Rule]) -> dict[str, Column]:
+    """The number of failing rows of every rule as an aggregate, named by the rule's position:
+    two rules may have one name."""
+    return {f"rule{i}": F.count_if(rule.fails) for i, rule in enumerate(rules)}
+
+
 def expectations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Failing rows per rule as (rule, failed_count, total_rows). All rules share one scan."""
-    names = [f"r{i}" for i in range(len(rules))]
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(rule.fails).alias(name) for name, rule in zip(names, rules)],
-    ).select("total_rows", *[F.col(n).alias(r.name) for n, r in zip(names, rules)])
-    return counted.unpivot(
-        ["total_rows"], [F.col(f"`{r.name}`") for r in rules], "rule", "failed_count"
-    ).select("rule", "failed_count", "total_rows")
+    counts = rule_counts(rules)
+    counted = df.agg(F.count(F.lit(1)).alias("total_rows"), *[c.alias(n) for n, c in counts.items()])
+    long = counted.unpivot(["total_rows"], list(counts), "place", "failed_count")
+    names = F.create_map(*[F.lit(x) for n, rule in zip(counts, rules, strict=True) for x in (n, rule.name)])
+    return long.select(names[F.col("place")].alias("rule"), "failed_count", "total_rows")
+
+
+def raise_broken(rules: Sequence[Rule], counts: Mapping[str, int]) -> None:
+    """Raise when a count of ``rule_counts`` says that a rule does not hold."""
+    broken = [f"{rule.name}: {n} rows" for rule, n in zip(rules, map(counts.get, rule_counts(rules)), strict=True) if n]
+    if broken:
+        raise CheckFailed(", ".join(broken))
 
 
 def enforce(df: DataFrame, rules: Sequence[Rule]) -> None:
     """Raise when any row breaks a rule."""
     if rules:
-        _raise_on(expectations(df, rules).where("failed_count > 0"), "rule", "failed_count")
+        raise_broken(rules, df.agg(*[c.alias(n) for n, c in rule_counts(rules).items()]).first().asDict())
 
 
 def _raise_on(failures: DataFrame, name: str, count: str) -> None:
@@ -145,21 +155,17 @@ def category_drift(
     train: DataFrame, test: DataFrame, columns: Sequence[str], unseen_only: bool = True
 ) -> DataFrame:
     """Values of categorical columns with their rows on each side, by default only the values
-    that one side lacks. The sides are summed, not joined."""
+    that one side lacks. Both sides are counted together, in one pass over each."""
     sides = [
-        category_counts(df, columns, ordered=False).select(
-            "column_name",
-            "value",
-            F.when(F.lit(side), F.col("row_count")).otherwise(0).alias("train_count"),
-            F.when(F.lit(not side), F.col("row_count")).otherwise(0).alias("test_count"),
-        )
-        for df, side in ((train, True), (test, False))
+        df.select(F.lit(flag).alias("_train"), *[F.col(c).cast("string").alias(c) for c in columns])
+        for df, flag in ((train, 1), (test, 0))
     ]
     both = (
         sides[0]
         .unionAll(sides[1])
+        .unpivot(["_train"], list(columns), "column_name", "value")
         .groupBy("column_name", "value")
-        .agg(F.sum("train_count").alias("train_count"), F.sum("test_count").alias("test_count"))
+        .agg(F.sum("_train").alias("train_count"), F.sum(1 - F.col("_train")).alias("test_count"))
     )
     return both.where("train_count = 0 OR test_count = 0") if unseen_only else both
 

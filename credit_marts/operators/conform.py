@@ -72,55 +72,48 @@ def null_policy(df: DataFrame, policy: Mapping[str, str]) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+
+
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """One row per key, the first in ``order``; the remaining columns break ties, so the choice
-    is the same on every run.
+    """One row per key, the first in ``order``; the remaining columns break ties, values before
+    NULL, so the choice is the same on every run.
 
     The rank filter lets Spark keep one row per key and task before the exchange, so a hot key
-    sends one row per task. A row with a NULL key part identifies nothing: all of them are kept.
+    sends one row per task. A row with a NULL key part identifies nothing: each is a group of its
+    own, by a number that spreads them, and all of them are kept. The table is scanned once.
     """
-    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    incomplete = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    tie_breakers = [F.col(c) for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *tie_breakers)
-    first = (
-        df.where(complete)
-        .withColumn("_rank", F.row_number().over(window))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
-    )
-    return first.unionAll(df.where(incomplete))
+    apart = F.when(~_complete(keys), F.monotonically_increasing_id())
+    tie_breakers = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+    window = Window.partitionBy(*keys, "_apart").orderBy(*order, *tie_breakers)
+    ranked = df.withColumn("_apart", apart).withColumn("_rank", F.row_number().over(window))
+    return ranked.where(F.col("_rank") == 1).drop("_apart", "_rank")
 
 
 def _resolve_repeated(
-    df: DataFrame, keys: Sequence[str], resolve: Callable[[DataFrame], DataFrame], most_keys: int
+    df: DataFrame, keys: Sequence[str], resolve: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """``resolve`` applied to the rows whose key repeats, the other rows left where they are.
 
-    A first job counts the keys alone and stores the repeated ones in the shared work folder.
-    None: the table is returned as it is. Up to ``most_keys``: they are broadcast. More:
-    ``resolve`` gets the whole table. A row with a NULL key part is never a repeated one.
+    A first job counts the keys alone and stores the repeated ones in the shared work folder, so
+    that Spark knows their size when it chooses how to join them. Without any the table is
+    returned as it is. A row with a NULL key part is never a repeated one.
     """
-    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    counted = df.where(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df.where(_complete(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     folder = work_dir(df.sparkSession)
-    found = land(counted.where("_rows > 1").select(*keys), folder, "repeated_keys")
-    if found == 0:
+    if land(counted.where("_rows > 1").select(*keys), folder, "repeated_keys") == 0:
         return df
-    if found > most_keys:
-        return resolve(df)
-    repeated = F.broadcast(df.sparkSession.read.parquet(f"{folder}/repeated_keys"))
+    repeated = df.sparkSession.read.parquet(f"{folder}/repeated_keys")
     single = df.join(repeated, list(keys), "left_anti").select(*df.columns)
     several = df.join(repeated, list(keys), "left_semi").select(*df.columns)
     return single.unionAll(resolve(several))
 
 
-def dedup_rare(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), most_keys: int = 1_000_000
-) -> DataFrame:
-    """``dedup`` for a wide table in which few keys repeat: only the keys are exchanged, and only
-    rows with a repeated key are ranked."""
-    return _resolve_repeated(df, keys, lambda rows: dedup(rows, keys, order), most_keys)
+def dedup_rare(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """``dedup`` for a wide table in which few keys repeat: where their keys are small enough to be
+    sent to the rows, only rows with a repeated key are exchanged. Runs a job on the keys."""
+    return _resolve_repeated(df, keys, lambda rows: dedup(rows, keys, order))
 
 
 def drop_full_duplicates(df: DataFrame) -> DataFrame:
@@ -128,11 +121,11 @@ def drop_full_duplicates(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def drop_full_duplicates_rare(df: DataFrame, most_keys: int = 1_000_000) -> DataFrame:
+def drop_full_duplicates_rare(df: DataFrame) -> DataFrame:
     """``drop_full_duplicates`` for a wide table with few of them: one hash per row is exchanged,
-    and only rows with a repeated hash, equal or not, are compared in full."""
+    and only rows with a repeated hash, equal or not, are compared in full. Runs a job on the hashes."""
     hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    return _resolve_repeated(hashed, ["_hash"], DataFrame.distinct, most_keys).drop("_hash")
+    return _resolve_repeated(hashed, ["_hash"], DataFrame.distinct).drop("_hash")
 
 
 def unify_applications(

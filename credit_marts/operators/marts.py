@@ -88,7 +88,10 @@ def dim_bureau(
     ]
     if by_credit is None:
         return rows.groupBy(applicant).agg(*measures)
-    rows = rows.join(by_credit, credit, "left")
+    # Credits without an id have no months; they go around the join, where they would meet in one task.
+    months = [F.lit(None).cast(by_credit.schema[c].dataType).alias(c) for c in by_credit.columns if c != credit]
+    known = rows.where(F.col(credit).isNotNull()).join(by_credit, credit, "left")
+    rows = known.unionByName(rows.where(F.col(credit).isNull()).select("*", *months))
     months = F.sum("month_count")
     delinquent = F.sum("delinquent_month_count")
     return rows.groupBy(applicant).agg(
@@ -99,6 +102,17 @@ def dim_bureau(
     )
 
 
+def reason_codes(previous: DataFrame, reason: str = "CODE_REJECT_REASON", most: int = 200) -> list[str]:
+    """The reject codes that occur, in order. Each becomes a column, so a column of free text with
+    more than ``most`` values is refused."""
+    if reason not in previous.columns:
+        return []
+    codes = previous.where(F.col(reason).isNotNull()).select(reason).distinct().limit(most + 1).collect()
+    if len(codes) > most:
+        raise ValueError(f"{reason} has more than {most} values")
+    return sorted(r[reason] for r in codes)
+
+
 def dim_previous_application(
     previous: DataFrame,
     applicant: str = "SK_ID_CURR",

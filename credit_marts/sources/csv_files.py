@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credit_marts.functions import safe_cast
 from credit_marts.sources.tables import write_table
 
 # An unquoted empty field is NULL; a quoted empty field and the text NA are values. Spark reads
@@ -44,28 +43,45 @@ def named_types(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, type_of(c)) for c in columns])
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+# Texts the CSV reader takes as a whole and as any number: no spaces, no names of numbers.
+_WHOLE = r"^[+-]?\d+$"
+_NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
+
+
+def _scan(spark: SparkSession, path: str, schema: T.StructType | None, lines: bool) -> DataFrame:
+    """``lines``: a quoted field may hold line breaks, so that a file cannot be split among tasks."""
     reader = (
         spark.read.option("header", True)
         .option("nullValue", _NO_SUCH_TEXT)
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        .option("multiLine", lines)
+        .option("enforceSchema", False)  # the header of every file must name the columns in order
     )
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
-def infer_types(spark: SparkSession, path: str, sample_rows: int | None = 10_000) -> T.StructType:
+def _header(spark: SparkSession, path: str, lines: bool) -> list[str]:
+    return _scan(spark, path, None, lines).columns
+
+
+def infer_types(
+    spark: SparkSession, path: str, sample_rows: int | None = None, lines: bool = False
+) -> T.StructType:
     """Schema from the values: whole numbers without NULL are BIGINT, other numbers DOUBLE,
-    true/false BOOLEAN, everything else text.
+    true/false BOOLEAN, everything else text. What counts as a number is what the reader can parse.
 
-    One aggregation over the first ``sample_rows`` rows, or over all of them when None, which
-    rules out a column whose later rows do not fit the type of the first ones.
+    One aggregation over all rows. With ``sample_rows`` only over the first ones; then a later row
+    that does not fit makes the read fail.
     """
-    text = _scan(spark, path, None)
+    names = _header(spark, path, lines)
+    text = _scan(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in names]), lines)
     sample = text if sample_rows is None else text.limit(sample_rows)
 
     def fits(column: str, data_type: str) -> Column:
-        return F.count(safe_cast(F.col(f"`{column}`"), T.StringType(), data_type))
+        value = F.col(f"`{column}`")
+        pattern = _WHOLE if data_type == "bigint" else _NUMBER
+        return F.count(F.when(value.rlike(pattern), value.try_cast(data_type)))
 
     checks = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(text.columns):
@@ -94,16 +110,21 @@ def infer_types(spark: SparkSession, path: str, sample_rows: int | None = 10_000
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    infer: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
     """CSV with header as a DataFrame of explicit types.
 
-    The schema is the given one, else inferred from a sample (``infer``), else from the names.
-    A value that does not fit its type fails the read.
+    The schema is the given one, else inferred from all values (``infer``), else from the names.
+    A value that does not fit its type fails the read, and so does a file whose header has other
+    columns or another order. ``lines``: quoted fields may hold line breaks.
     """
     if schema is None:
-        schema = infer_types(spark, path) if infer else named_types(_scan(spark, path, None).columns)
-    return _scan(spark, path, schema)
+        schema = infer_types(spark, path, lines=lines) if infer else named_types(_header(spark, path, lines))
+    return _scan(spark, path, schema, lines)
 
 
 def csv_to_table(
@@ -113,6 +134,7 @@ def csv_to_table(
     schema: T.StructType | None = None,
     infer: bool = False,
     fmt: str = "parquet",
+    lines: bool = False,
 ) -> int:
     """Replace ``table`` by the rows of a CSV and return how many were loaded."""
-    return write_table(read_csv(spark, path, schema, infer), table, fmt)
+    return write_table(read_csv(spark, path, schema, infer, lines), table, fmt)

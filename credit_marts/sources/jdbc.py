@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,8 +49,9 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, split: KeyRange | None = None, **kw) -> DataFrame:
-    """A relational table as a DataFrame, one task per key range."""
+def read_jdbc(spark: SparkSession, url: str, table: str, split: KeyRange | None, **kw) -> DataFrame:
+    """A relational table as a DataFrame, one task per key range. ``split`` None reads the table by
+    one connection in one task, which is for small tables only and has to be said."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, split, **kw)).load()
 
 
@@ -69,13 +70,8 @@ def write_jdbc(
 
 
 def land_all(
-    spark: SparkSession,
-    url: str,
-    root: str,
-    tables: Sequence[str],
-    splits: Mapping[str, KeyRange] | None = None,
-    **kw,
+    spark: SparkSession, url: str, root: str, splits: Mapping[str, KeyRange | None], **kw
 ) -> dict[str, int]:
-    """Extract tables one after another and land each as Parquet; returns the rows per table."""
-    splits = splits or {}
-    return {t: land(read_jdbc(spark, url, t, splits.get(t), **kw), root, t) for t in tables}
+    """Extract the tables of ``splits`` one after another, each by its key range, and land them as
+    Parquet; returns the rows per table. None says that a table is small enough for one task."""
+    return {t: land(read_jdbc(spark, url, t, split, **kw), root, t) for t, split in splits.items()}

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold")
@@ -41,42 +41,96 @@ def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: int(seen.get["rows"])
 
 
+Check = Callable[[Mapping[str, int], DataFrame], None]
+
+
 def write_table(
     df: DataFrame,
     name: str,
     fmt: str = "parquet",
     path: str | None = None,
     buckets: tuple[int, str] | None = None,
+    counts: Mapping[str, Column] | None = None,
+    check: Check | None = None,
 ) -> int:
     """Replace table ``name`` (rows and schema) by ``df`` and return the number of rows written.
 
+    The rows go to a staging table first; while they are written, the aggregates in ``counts``
+    (and ``rows``) are observed. ``check`` gets them and the staged table and raises when it must
+    not be published. Until then the table holds what it held; a write or a check that fails
+    leaves it as it was.
+
     ``path`` makes the table external. ``buckets`` = (number, column) stores it bucketed and
     sorted by a key that is unique in ``df``, so that later joins on it need no exchange; a key
     that repeats must not be used, since all its rows would be read by one task.
     """
+    if fmt == "delta" and buckets:
+        raise ValueError("a Delta table cannot be bucketed")
+    spark, staging = df.sparkSession, f"{name}__staging"
+    seen = Observation()
+    dealt = df.repartition(*buckets) if buckets else df  # one file per bucket
+    # On top of the plan, hence in the result stage, where Spark counts a retried task once.
+    rows = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (counts or {}).items()])
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    try:
+        _save(rows, staging, fmt, None, buckets)
+        found = seen.get
+        if check:
+            check(found, spark.table(staging))
+        if path or fmt == "delta":  # an external place keeps its name, Delta replaces atomically
+            _save(spark.table(staging), name, fmt, path, buckets)
+            spark.sql(f"DROP TABLE {staging}")
+        else:
+            _publish(spark, staging, name)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    return int(found["rows"])
+
+
+def _save(df: DataFrame, name: str, fmt: str, path: str | None, buckets: tuple[int, str] | None) -> None:
+    writer = df.write.format(fmt).mode("overwrite")
     if buckets:
-        number, column = buckets
-        df = df.repartition(number, column)  # one file per bucket
-    observed, rows = counted(df)
-    writer = observed.write.format(fmt).mode("overwrite")
-    if buckets:
-        writer = writer.bucketBy(number, column).sortBy(column)
+        writer = writer.bucketBy(*buckets).sortBy(buckets[1])
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
-    return rows()
+
+
+def _publish(spark: SparkSession, staging: str, name: str) -> None:
+    """Give the staged table its name. The table it replaces is set aside, and put back if that fails."""
+    aside = f"{name}__replaced"
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    replaces = spark.catalog.tableExists(name)
+    if replaces:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside.partition('.')[2] if name.count('.') == 2 else aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name.partition('.')[2] if name.count('.') == 2 else name}")
+    except BaseException:
+        if replaces:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name.partition('.')[2] if name.count('.') == 2 else name}")
+        raise
+    spark.catalog.refreshTable(name)
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
 
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder for the tables of one run, below the shared one named in ``spark.checkpoint.dir``.
+    It is removed when the application ends, as the tables returned to a caller may read it.
 
     Only a local session without that setting gets a temporary folder of this machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return f"{named.rstrip('/')}/credit-marts-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="credit-marts-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = f"{named.rstrip('/')}/credit-marts-{uuid.uuid4().hex}"
+    elif spark.conf.get("spark.master", "").startswith("local"):
+        folder = tempfile.mkdtemp(prefix="credit-marts-")
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return folder

@@ -72,14 +72,13 @@ def test_dedup_order(spark):
     assert sorted((r.k or 0, r.t, r.v) for r in out.collect()) == [(0, 1, "y"), (0, 1, "y"), (1, 9, "a"), (2, 1, "x")]
 
 
-@pytest.mark.parametrize("most_keys", [0, 40, 100_000])
-def test_dedup_rare_equals_dedup(spark, most_keys):
+def test_dedup_rare_equals_dedup(spark):
     """No key, few keys and many keys repeated; one of them very often; NULL keys."""
     rows = [(None if i % 50 == 0 else 7 if i % 3 == 0 else i % 1000, i % 2, i % 5, f"v{i % 7}") for i in range(1500)]
     df = spark.createDataFrame(rows, "k bigint, m bigint, t bigint, v string").repartition(5)
     order = [F.col("t").desc()]
     plain = sorted(map(str, c.dedup(df, ["k", "m"], order).collect()))
-    assert sorted(map(str, c.dedup_rare(df, ["k", "m"], order, most_keys).collect())) == plain
+    assert sorted(map(str, c.dedup_rare(df, ["k", "m"], order).collect())) == plain
     expected = {}
     for k, m, t, v in rows:
         if k is not None and ((k, m) not in expected or (-t, v) < expected[(k, m)]):
@@ -89,12 +88,11 @@ def test_dedup_rare_equals_dedup(spark, most_keys):
     assert {(r.k, r.m): (-r.t, r.v) for r in c.dedup(df, ["k", "m"], order).collect() if r.k is not None} == expected
 
 
-@pytest.mark.parametrize("most_keys", [0, 40, 100_000])
-def test_drop_full_duplicates_rare(spark, most_keys):
+def test_drop_full_duplicates_rare(spark):
     rows = [(None if i % 9 == 0 else i % 300, float(i % 2) * -0.0 if i % 4 else 0.0, f"v{i % 5}") for i in range(900)]
     df = spark.createDataFrame(rows, "k bigint, x double, v string").repartition(5)
     plain = sorted(map(str, c.drop_full_duplicates(df).collect()))
-    found = c.drop_full_duplicates_rare(df, most_keys)
+    found = c.drop_full_duplicates_rare(df)
     assert found.columns == df.columns
     assert sorted(str(r).replace("-0.0", "0.0") for r in found.collect()) == [r.replace("-0.0", "0.0") for r in plain]
     assert len(plain) == len({(k, x, v) for k, x, v in rows})

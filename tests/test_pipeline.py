@@ -5,7 +5,9 @@ from conftest import by, one
 from pyspark.sql import functions as F
 
 from credit_marts import run_pipeline
+from credit_marts.operators.marts import reason_codes
 from credit_marts.plans import gold_tables, silver_tables
+from credit_marts.plans.pipeline import quality_report
 from credit_marts.sources import ensure_schemas, land, table_specs, work_dir
 
 
@@ -28,7 +30,7 @@ def test_rows_written(stored, mini):
     assert {t: n for t, n in rows.items() if not t.startswith("bronze.")} == {
         "silver.application": 5, "silver.bureau": 6, "silver.bureau_balance": 7, "silver.previous_application": 4,
         "silver.POS_CASH_balance": 3, "silver.credit_card_balance": 3, "silver.installments_payments": 6,
-        "silver.quality_report": 19, "gold.dim_bureau": 4, "gold.dim_previous_application": 3,
+        "silver.quality_report": 41, "gold.dim_bureau": 4, "gold.dim_previous_application": 3,
         "gold.dim_installments_agg": 2, "gold.dim_credit_card_agg": 2, "gold.dim_pos_cash_agg": 2,
         "gold.fact_application": 5,
     }
@@ -59,12 +61,51 @@ def test_quality_report(stored):
         ("reference", "bureau_balance", "SK_ID_BUREAU -> bureau"): 1,
         ("reference", "previous_application", "SK_ID_CURR -> application"): 1,
         ("reference", "installments_payments", "SK_ID_PREV -> previous_application"): 1,
-        ("unique", "bureau_balance", "SK_ID_BUREAU,MONTHS_BALANCE"): 1,
+        ("dropped", "application", "duplicates"): 1,
+        ("dropped", "bureau_balance", "duplicates"): 1,
+        ("unique", "application", "SK_ID_CURR"): 1,
+        ("unique", "bureau_balance", "SK_ID_BUREAU,MONTHS_BALANCE"): 2,
+        ("category_drift", "application", "CODE_GENDER"): 2,
+        ("category_drift", "application", "NAME_INCOME_TYPE"): 2,
+        ("null_rate_drift", "application", "5 points"): 2,
         ("unique", "installments_payments", "SK_ID_PREV,NUM_INSTALMENT_NUMBER,NUM_INSTALMENT_VERSION"): 1,
         ("route", "installments_payments", "SK_ID_CURR"): 1,
     }
 
 
+def test_rejected_values_are_counted(mini):
+    fractions = mini["bureau"].withColumn("DAYS_CREDIT", F.when(F.col("SK_ID_BUREAU") == 11, -3.5).otherwise(F.col("DAYS_CREDIT")))
+    bronze = {**mini, "bureau": fractions}
+    report = quality_report(silver_tables(bronze), bronze).where("check_name = 'rejected' AND failed_count > 0")
+    assert by(report, "table_name", "detail")[("bureau", "DAYS_CREDIT")]["failed_count"] == 1
+    assert report.count() == 1
+
+
+def test_the_stronger_signal_survives(spark, mini):
+    def silver(name, rows, schema):
+        return silver_tables({**mini, name: spark.createDataFrame(rows, schema).repartition(3)})[name].collect()
+
+    months = [(1, -1, s) for s in ("0", "5", "X", "C", None)] + [(2, -1, "X"), (2, -1, "0"), (3, None, "1"), (3, None, "1")]
+    kept = silver("bureau_balance", months, "SK_ID_BUREAU bigint, MONTHS_BALANCE bigint, STATUS string")
+    assert sorted((r.SK_ID_BUREAU, r.STATUS) for r in kept) == [(1, "5"), (2, "0"), (3, "1"), (3, "1")]
+    pos = [(1, 9, -1, 0, 0), (1, 9, -1, 40, 0), (1, None, -1, 40, 2), (2, None, -1, 3, 0), (2, 8, -1, 3, 0)]
+    kept = silver("POS_CASH_balance", pos, "SK_ID_PREV bigint, SK_ID_CURR bigint, MONTHS_BALANCE bigint, SK_DPD bigint, SK_DPD_DEF bigint")
+    assert sorted((r.SK_ID_PREV, r.SK_ID_CURR or 0, r.SK_DPD, r.SK_DPD_DEF) for r in kept) == [(1, 0, 40, 2), (2, 8, 3, 0)]
+    credits = [(None, 11, -1, 50), (5, 11, -700, 0), (5, 11, -300, 0)]
+    kept = silver("bureau", credits, "SK_ID_CURR bigint, SK_ID_BUREAU bigint, DAYS_CREDIT bigint, CREDIT_DAY_OVERDUE bigint")
+    assert [(r.SK_ID_CURR, r.DAYS_CREDIT) for r in kept] == [(5, -300)]
+
+
+def test_reject_reasons_are_found(spark, stored, mini):
+    assert reason_codes(mini["previous_application"]) == ["HC", "XAP"]
+    with pytest.raises(ValueError, match="more than 3"):
+        reason_codes(spark.range(9).selectExpr("cast(id AS string) AS CODE_REJECT_REASON"), most=3)
+    specs, *_ = stored
+    run_pipeline(spark, specs)
+    assert "previous_reason_xap_count" in spark.table("spark_catalog.mini_gold.fact_application").columns
+    run_pipeline(spark, specs, reasons=["HC"], buckets=3)
+
+
 def test_stored_fact_is_the_lazy_one(stored, mini):
     _, _, table = stored
     lazy = gold_tables(silver_tables(mini), ["HC"])["fact_application"]

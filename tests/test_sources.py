@@ -74,6 +74,33 @@ def test_inferred_types(spark, csv):
     assert read_csv(spark, path, infer=True).select("late").collect()[2][0] == 2.5
 
 
+def test_what_is_inferred_can_be_read(spark, csv):
+    path = csv("a,b,c,d,e,f\n 5,nan,+7,1.,99999999999999999999,true\n6,1.5,-8,.5e-3,1,False\n")
+    frame = read_csv(spark, path, infer=True)
+    assert [t for _, t in frame.dtypes] == ["string", "string", "bigint", "double", "double", "boolean"]
+    assert [tuple(r) for r in frame.collect()] == [(" 5", "nan", 7, 1.0, 1e20, True), ("6", "1.5", -8, 0.0005, 1.0, False)]
+
+
+def test_late_values_are_seen(spark, csv):
+    path = csv("n\n" + "1\n" * 20_000 + "0.5\n")
+    assert read_csv(spark, path, infer=True).dtypes == [("n", "double")]
+
+
+def test_headers_must_agree(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "a.csv").write_text("SK_ID_BUREAU,SK_ID_CURR\n1,2\n")
+    (folder / "b.csv").write_text("SK_ID_CURR,SK_ID_BUREAU\n3,4\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(folder)).collect()
+
+
+def test_line_breaks_in_quotes(spark, csv):
+    path = csv('k,v\n1,"two\nlines"\n2,"a ""b"""\n')
+    rows = read_csv(spark, path, infer=True, lines=True).collect()
+    assert [tuple(r) for r in rows] == [(1, "two\nlines"), (2, 'a "b"')]
+
+
 def test_csv_to_table(spark, csv):
     ensure_schemas(spark)
     path = csv("SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n1,-1,C\n1,-2,0\n")
@@ -143,7 +170,7 @@ def test_land_all_reads_each_table_and_lands_it(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("credit_marts.sources.jdbc.read_jdbc", read)
     split = KeyRange("SK_ID_PREV", 1, 9)
     rows = land_all(
-        spark, "jdbc:x", str(tmp_path), ["bureau", "POS_CASH_balance"], {"POS_CASH_balance": split}, fetch_rows=5
+        spark, "jdbc:x", str(tmp_path), {"bureau": None, "POS_CASH_balance": split}, fetch_rows=5
     )
     assert rows == {"bureau": 1, "POS_CASH_balance": 2}
     assert asked == [

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credit_marts.operators import checks, reports
-from credit_marts.operators.conform import unify_applications
 from credit_marts.plans import pipeline
 from credit_marts.sources import ensure_schemas, land, table_specs, work_dir
+from workloads import credit_view
 from workloads.credit_view import CreditTables, with_credit_tables
 from workloads.native import mean_as_sum
 from workloads.sql import percent
@@ -19,6 +19,14 @@ from workloads.sql import percent
 Query = Callable[[SparkSession, str], DataFrame]
 
 REASONS = ("1-URGENT", "5-LOW", "XAP")
+# The columns that the drift findings look at.
+CATEGORIES = (
+    "CODE_GENDER", "NAME_CONTRACT_TYPE", "NAME_INCOME_TYPE", "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS",
+    "NAME_HOUSING_TYPE",
+)
+NULLABLE = (
+    "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "OCCUPATION_TYPE", "AMT_ANNUITY", "AMT_GOODS_PRICE", "NAME_TYPE_SUITE",
+)
 INCOME_BANDS = (0, 2500, 5000, 7500)
 AGE_BANDS = (30, 45, 60)
 
@@ -55,21 +63,34 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.gold_tables(_silver(spark, sf_dir), REASONS)["fact_application"]
 
 
+def _int(column: str) -> str:
+    """A whole number, NULL where there is a fraction."""
+    return f"CASE WHEN {column} = floor({column}) THEN CAST({column} AS INTEGER) END"
+
+
 def _ints(*columns: str) -> str:
-    return ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in columns)
+    return ", ".join(f"{_int(c)} AS {c}" for c in columns)
 
 
-def _first(table: str, keys: tuple[str, ...], order: str) -> str:
-    """One row per key; rows with an incomplete key stay."""
-    incomplete = " OR ".join(f"{k} IS NULL" for k in keys)
-    return (
-        f"SELECT * FROM {table} QUALIFY {incomplete} OR "
-        f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) = 1"
-    )
+def _ties(table: str, *special: str) -> str:
+    """All columns of a table in order, values before NULL; ``special`` replaces some of them."""
+    changed = dict(s.split(" AS ") for s in special)
+    names = credit_view.columns(credit_view.duckdb_days)[table][2]
+    return ", ".join(f"{changed.get(c, c)} ASC NULLS LAST" for c in names)
+
+
+def _one(keys: str, order: str) -> str:
+    """One row per key stays, the first in order; rows with an incomplete key all stay."""
+    incomplete = " OR ".join(f"{k} IS NULL" for k in keys.split(", "))
+    return f"QUALIFY {incomplete} OR row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"
 
 
 _NO_TARGET = "SELECT *, CAST(NULL AS BIGINT) AS TARGET, 0 AS is_train FROM application_test"
 
+_DRAWN = ("AMT_DRAWINGS_ATM_CURRENT", "AMT_DRAWINGS_OTHER_CURRENT", "AMT_DRAWINGS_POS_CURRENT")
+
+# The rule of survival of each table stands in its QUALIFY, in words of its own: a train row before
+# a test row; a row with an applicant; the latest; the worst status or the most days past due.
 SILVER_SQL = {
     "application": f"""
         SELECT * REPLACE ({_ints('CNT_CHILDREN', 'DAYS_BIRTH')},
@@ -80,51 +101,63 @@ SILVER_SQL = {
             CAST(EXT_SOURCE_3 IS NULL AS INTEGER) AS EXT_SOURCE_3_is_null,
             round(-DAYS_BIRTH / 365.25, 6) AS age_years,
             CASE WHEN AMT_INCOME_TOTAL <> 0 THEN AMT_CREDIT / AMT_INCOME_TOTAL END AS debt_burden,
-            round(list_avg([APARTMENTS_AVG, LIVINGAREA_AVG, ELEVATORS_AVG]), 8) AS building_mean,
+            round(list_avg([APARTMENTS_AVG, LIVINGAREA_AVG, ELEVATORS_AVG, APARTMENTS_MODE, LIVINGAREA_MEDI]), 8)
+                AS building_mean,
             CAST((APARTMENTS_AVG IS NOT NULL)::INT + (LIVINGAREA_AVG IS NOT NULL)::INT
-                + (ELEVATORS_AVG IS NOT NULL)::INT AS INTEGER) AS building_present
-        FROM (SELECT *, 1 AS is_train FROM application_train UNION ALL BY NAME {_NO_TARGET})""",
-    "bureau": f"SELECT * REPLACE ({_ints('DAYS_CREDIT', 'DAYS_CREDIT_ENDDATE')}) FROM bureau",
-    "bureau_balance": "SELECT * REPLACE (CAST(MONTHS_BALANCE AS INTEGER) AS MONTHS_BALANCE), "
+                + (ELEVATORS_AVG IS NOT NULL)::INT + (APARTMENTS_MODE IS NOT NULL)::INT
+                + (LIVINGAREA_MEDI IS NOT NULL)::INT AS INTEGER) AS building_present
+        FROM (
+            SELECT * FROM (SELECT *, 1 AS is_train FROM application_train UNION ALL BY NAME {_NO_TARGET})
+            {_one("SK_ID_CURR", "is_train DESC, " + _ties("application_train", "nullif(DAYS_EMPLOYED, 365243) AS DAYS_EMPLOYED"))}
+        )""",
+    "bureau": f"SELECT * REPLACE ({_ints('DAYS_CREDIT', 'DAYS_CREDIT_ENDDATE')}) FROM (SELECT * FROM bureau "
+    + _one(
+        "SK_ID_BUREAU",
+        "(SK_ID_CURR IS NULL), DAYS_CREDIT DESC NULLS LAST, CREDIT_DAY_OVERDUE DESC NULLS LAST, "
+        + _ties("bureau", "CASE WHEN DAYS_CREDIT_ENDDATE = floor(DAYS_CREDIT_ENDDATE) THEN DAYS_CREDIT_ENDDATE END AS DAYS_CREDIT_ENDDATE"),
+    )
+    + ")",
+    "bureau_balance": f"SELECT * REPLACE ({_ints('MONTHS_BALANCE')}), "
     "CASE WHEN STATUS IN ('C', '0') THEN 0 WHEN STATUS <> 'X' THEN CAST(STATUS AS INTEGER) END AS status_severity, "
-    "CAST(STATUS IN ('1', '2', '3', '4', '5') AS INTEGER) AS is_delinquent FROM ("
-    + _first(
-        "(SELECT SK_ID_BUREAU, MONTHS_BALANCE, CASE STATUS WHEN 'C' THEN 'C' WHEN 'X' THEN 'X' ELSE STATUS END AS STATUS "
-        "FROM bureau_balance)",
-        ("SK_ID_BUREAU", "MONTHS_BALANCE"),
-        "STATUS",
+    "CAST(STATUS IN ('1', '2', '3', '4', '5') AS INTEGER) AS is_delinquent FROM (SELECT * FROM bureau_balance "
+    + _one(
+        "SK_ID_BUREAU, MONTHS_BALANCE",
+        "CASE STATUS WHEN '5' THEN 0 WHEN '4' THEN 1 WHEN '3' THEN 2 WHEN '2' THEN 3 WHEN '1' THEN 4 "
+        "WHEN 'X' THEN 6 ELSE 5 END, STATUS",
     )
     + ")",
-    "previous_application": "SELECT * REPLACE ("
-    + _ints("DAYS_DECISION", "CNT_PAYMENT")
-    + ", CAST(nullif(DAYS_FIRST_DRAWING, 365243) AS INTEGER) AS DAYS_FIRST_DRAWING), "
+    "previous_application": f"SELECT * REPLACE ({_ints('DAYS_DECISION', 'CNT_PAYMENT')}, "
+    "CAST(nullif(DAYS_FIRST_DRAWING, 365243) AS INTEGER) AS DAYS_FIRST_DRAWING), "
     "CAST(coalesce(DAYS_FIRST_DRAWING = 365243, false) AS INTEGER) AS DAYS_FIRST_DRAWING_was_sentinel, "
-    "AMT_APPLICATION - AMT_CREDIT AS grant_gap FROM previous_application",
-    "POS_CASH_balance": _first(
-        f"(SELECT * REPLACE ({_ints('MONTHS_BALANCE', 'CNT_INSTALMENT', 'CNT_INSTALMENT_FUTURE')}) "
-        "FROM POS_CASH_balance)",
-        ("SK_ID_PREV", "MONTHS_BALANCE"),
-        "SK_ID_CURR NULLS FIRST, CNT_INSTALMENT NULLS FIRST, CNT_INSTALMENT_FUTURE NULLS FIRST, "
-        "NAME_CONTRACT_STATUS, SK_DPD, SK_DPD_DEF",
-    ),
-    "credit_card_balance": "SELECT *, CASE WHEN AMT_CREDIT_LIMIT_ACTUAL <> 0 THEN AMT_BALANCE / "
-    "AMT_CREDIT_LIMIT_ACTUAL END AS utilization FROM ("
-    + _first(
-        "(SELECT * REPLACE (CAST(MONTHS_BALANCE AS INTEGER) AS MONTHS_BALANCE, "
-        "coalesce(AMT_DRAWINGS_ATM_CURRENT, 0) AS AMT_DRAWINGS_ATM_CURRENT, "
-        "coalesce(AMT_DRAWINGS_OTHER_CURRENT, 0) AS AMT_DRAWINGS_OTHER_CURRENT, "
-        "coalesce(AMT_DRAWINGS_POS_CURRENT, 0) AS AMT_DRAWINGS_POS_CURRENT, "
-        "CAST(coalesce(CNT_DRAWINGS_ATM_CURRENT, 0) AS INTEGER) AS CNT_DRAWINGS_ATM_CURRENT) "
-        "FROM credit_card_balance)",
-        ("SK_ID_PREV", "MONTHS_BALANCE"),
-        "SK_ID_CURR NULLS FIRST, AMT_BALANCE, AMT_CREDIT_LIMIT_ACTUAL, AMT_DRAWINGS_ATM_CURRENT, "
-        "AMT_DRAWINGS_OTHER_CURRENT, AMT_DRAWINGS_POS_CURRENT, AMT_PAYMENT_CURRENT NULLS FIRST, "
-        "CNT_DRAWINGS_ATM_CURRENT, NAME_CONTRACT_STATUS, SK_DPD, SK_DPD_DEF",
+    "AMT_APPLICATION - AMT_CREDIT AS grant_gap FROM (SELECT * FROM previous_application "
+    + _one(
+        "SK_ID_PREV",
+        "(SK_ID_CURR IS NULL), DAYS_DECISION DESC NULLS LAST, AMT_APPLICATION DESC NULLS LAST, "
+        + _ties("previous_application", "nullif(DAYS_FIRST_DRAWING, 365243) AS DAYS_FIRST_DRAWING"),
+    )
+    + ")",
+    "POS_CASH_balance": f"SELECT * REPLACE ({_ints('MONTHS_BALANCE', 'CNT_INSTALMENT', 'CNT_INSTALMENT_FUTURE')}) "
+    "FROM (SELECT * FROM POS_CASH_balance "
+    + _one(
+        "SK_ID_PREV, MONTHS_BALANCE",
+        "SK_DPD DESC NULLS LAST, SK_DPD_DEF DESC NULLS LAST, (SK_ID_CURR IS NULL), " + _ties("POS_CASH_balance"),
     )
     + ")",
+    "credit_card_balance": "SELECT *, CASE WHEN AMT_CREDIT_LIMIT_ACTUAL <> 0 THEN AMT_BALANCE / "
+    f"AMT_CREDIT_LIMIT_ACTUAL END AS utilization FROM (SELECT * REPLACE ({_ints('MONTHS_BALANCE')}, "
+    + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _DRAWN)
+    + ", CAST(coalesce(CNT_DRAWINGS_ATM_CURRENT, 0) AS INTEGER) AS CNT_DRAWINGS_ATM_CURRENT) "
+    "FROM (SELECT * FROM credit_card_balance "
+    + _one(
+        "SK_ID_PREV, MONTHS_BALANCE",
+        "SK_DPD DESC NULLS LAST, AMT_BALANCE DESC NULLS LAST, (SK_ID_CURR IS NULL), "
+        + _ties("credit_card_balance", *[f"coalesce({c}, 0) AS {c}" for c in (*_DRAWN, "CNT_DRAWINGS_ATM_CURRENT")]),
+    )
+    + "))",
     "installments_payments": "SELECT *, DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT AS payment_delay, "
     "CAST(coalesce(DAYS_ENTRY_PAYMENT > DAYS_INSTALMENT, false) AS INTEGER) AS is_late, "
-    "CAST(AMT_PAYMENT IS NULL AS INTEGER) AS is_missed FROM "
+    "CAST(AMT_PAYMENT IS NULL AS INTEGER) AS is_missed, "
+    "CASE WHEN AMT_INSTALMENT <> 0 THEN AMT_PAYMENT / AMT_INSTALMENT END AS paid_share FROM "
     f"(SELECT DISTINCT * REPLACE ({_ints('DAYS_INSTALMENT', 'DAYS_ENTRY_PAYMENT')}) FROM installments_payments)",
 }
 
@@ -221,30 +254,52 @@ def _quality_sql() -> str:
     ]
     parts = [
         f"SELECT 'reference' AS check_name, '{child}' AS table_name, '{key} -> {parent}' AS detail, "
-        f"count(*) AS failed_count FROM {child} c WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{key})"
+        f"count(*) AS failed_count FROM s_{child} c WHERE NOT EXISTS (SELECT 1 FROM s_{parent} p WHERE p.{key} = c.{key})"
         for child, key, (parent,) in links
     ]
+    whole = "(SELECT * FROM application_train UNION ALL BY NAME SELECT * FROM application_test)"
+    day_columns = {"DAYS_EMPLOYED", "DAYS_FIRST_DRAWING"}
     for table, keys in {**pipeline.SILVER_KEYS, "installments_payments": pipeline.INSTALMENT_KEY}.items():
+        raw = whole if table == "application" else table
+        for c in credit_view.columns(credit_view.duckdb_days)[table if raw == table else "application_train"][2]:
+            if re.match("(DAYS|CNT|MONTHS)_", c):
+                value = f"nullif({c}, 365243)" if c in day_columns else c
+                parts.append(
+                    f"SELECT 'rejected', '{table}', '{c}', count(*) FILTER (WHERE {value} <> floor({value})) FROM {raw}"
+                )
+        parts.append(
+            f"SELECT 'dropped', '{table}', 'duplicates', "
+            f"(SELECT count(*) FROM {raw}) - (SELECT count(*) FROM s_{table})"
+        )
         parts.append(
             f"SELECT 'unique', '{table}', '{','.join(keys)}', CAST(sum(CASE WHEN "
             f"{' OR '.join(f'{k} IS NULL' for k in keys)} THEN n ELSE n - 1 END) AS BIGINT) "
-            f"FROM (SELECT {', '.join(keys)}, count(*) AS n FROM {table} GROUP BY ALL)"
+            f"FROM (SELECT {', '.join(keys)}, count(*) AS n FROM {raw} GROUP BY ALL)"
         )
+    for c in CATEGORIES:
+        parts.append(
+            f"SELECT 'category_drift', 'application', '{c}', count(*) FROM (SELECT {c} FROM {whole} GROUP BY {c}) v "
+            f"WHERE NOT EXISTS (SELECT 1 FROM application_train t WHERE t.{c} IS NOT DISTINCT FROM v.{c}) "
+            f"OR NOT EXISTS (SELECT 1 FROM application_test t WHERE t.{c} IS NOT DISTINCT FROM v.{c})"
+        )
+    shares = " + ".join(
+        f"CAST(abs((SELECT 100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*) FROM application_train) - "
+        f"(SELECT 100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*) FROM application_test)) >= 5 AS BIGINT)"
+        for c in NULLABLE
+    )
+    parts.append(f"SELECT 'null_rate_drift', 'application', '5 points', {shares}")
     for table in pipeline.TWO_ROUTES:
         parts.append(
-            f"SELECT 'route', '{table}', 'SK_ID_CURR', count(*) FROM {table} c JOIN previous_application p "
+            f"SELECT 'route', '{table}', 'SK_ID_CURR', count(*) FROM s_{table} c JOIN s_previous_application p "
             "USING (SK_ID_PREV) WHERE c.SK_ID_CURR IS DISTINCT FROM p.SK_ID_CURR"
         )
-    # a name of its own, as the credit tables have no such table
-    application = "(SELECT SK_ID_CURR FROM application_train UNION ALL SELECT SK_ID_CURR FROM application_test)"
-    return re.sub(r"FROM application\b", f"FROM {application}", " UNION ALL ".join(parts))
+    return " UNION ALL ".join(parts)
 
 
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report on the tables before conforming, where keys still repeat."""
+    """The report of the pipeline on its own tables, raw and conformed."""
     raw = CreditTables(spark, sf_dir)
-    unified = unify_applications(raw["application_train"], raw["application_test"])
-    return pipeline.quality_report({**{n: raw[n] for n in SILVER_SQL if n in raw}, "application": unified})
+    return pipeline.quality_report(pipeline.silver_tables(raw), raw)
 
 
 def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:

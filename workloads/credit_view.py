@@ -29,7 +29,7 @@ def duckdb_days(timestamp: str, origin: str) -> str:
 def _application(with_target: bool) -> dict[str, str]:
     target = {"TARGET": "CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS BIGINT)"}
     return {
-        "SK_ID_CURR": "c_custkey",
+        "SK_ID_CURR": "CASE WHEN c_custkey % 40 = 39 THEN c_custkey - 1 ELSE c_custkey END",
         **(target if with_target else {}),
         "CODE_GENDER": "CASE WHEN c_nationkey < 12 THEN 'F' WHEN c_nationkey < 24 THEN 'M' ELSE 'XNA' END",
         "NAME_CONTRACT_TYPE": "CASE WHEN c_acctbal > 9000 THEN 'Revolving loans' ELSE 'Cash loans' END",
@@ -52,6 +52,8 @@ def _application(with_target: bool) -> dict[str, str]:
         "APARTMENTS_AVG": "CAST(CASE WHEN c_nationkey < 10 THEN c_acctbal / 10000 END AS DOUBLE)",
         "LIVINGAREA_AVG": "CAST(CASE WHEN c_nationkey < 15 THEN c_acctbal / 5000 END AS DOUBLE)",
         "ELEVATORS_AVG": "CAST(CASE WHEN c_nationkey > 4 THEN 0.5 END AS DOUBLE)",
+        "APARTMENTS_MODE": "CAST(CASE WHEN c_nationkey < 8 THEN c_acctbal / 5000 END AS DOUBLE)",
+        "LIVINGAREA_MEDI": "CAST(CASE WHEN c_nationkey > 12 THEN 0.25 END AS DOUBLE)",
     }
 
 
@@ -70,14 +72,15 @@ def columns(days: Days) -> dict[str, tuple[str, str | None, dict[str, str]]]:
             None,
             {
                 "SK_ID_CURR": "CASE WHEN value > 250 THEN -1 - user_id ELSE NULLIF(user_id, 0) END",
-                "SK_ID_BUREAU": "event_id",
+                "SK_ID_BUREAU": "CASE WHEN event_id % 40 = 39 THEN event_id - 1 ELSE event_id END",
                 "CREDIT_ACTIVE": "CASE WHEN event_type IN ('purchase', 'view') THEN 'Active' "
                 "WHEN event_type = 'error' THEN 'Sold' ELSE 'Closed' END",
                 "CREDIT_CURRENCY": "CASE WHEN value < 10 THEN 'currency 2' ELSE 'currency 1' END",
                 "CREDIT_TYPE": "event_type",
                 "DAYS_CREDIT": f"CAST({days('ts', '2024-02-01')} AS BIGINT)",
                 "CREDIT_DAY_OVERDUE": "CAST(CASE WHEN event_type = 'error' THEN FLOOR(value) ELSE 0 END AS BIGINT)",
-                "DAYS_CREDIT_ENDDATE": "CAST(CASE WHEN event_type <> 'signup' THEN FLOOR(value) END AS DOUBLE)",
+                "DAYS_CREDIT_ENDDATE": "CAST(CASE WHEN event_type <> 'signup' THEN FLOOR(value) + "
+                "CASE WHEN value < 1 THEN 0.5 ELSE 0 END END AS DOUBLE)",
                 "AMT_CREDIT_MAX_OVERDUE": "CAST(CASE WHEN event_type = 'error' THEN value END AS DOUBLE)",
                 "AMT_CREDIT_SUM": "CAST(value * 100 AS DOUBLE)",
                 "AMT_CREDIT_SUM_DEBT": "CAST(CASE WHEN event_type <> 'click' THEN value * 50 END AS DOUBLE)",
@@ -99,7 +102,7 @@ def columns(days: Days) -> dict[str, tuple[str, str | None, dict[str, str]]]:
             "orders",
             None,
             {
-                "SK_ID_PREV": "o_orderkey",
+                "SK_ID_PREV": "CASE WHEN o_orderkey % 40 = 39 THEN o_orderkey - 1 ELSE o_orderkey END",
                 "SK_ID_CURR": "CASE WHEN o_totalprice > 495000 THEN -1 - o_custkey ELSE o_custkey END",
                 "NAME_CONTRACT_TYPE": "CASE WHEN o_totalprice < 100000 THEN 'Consumer loans' ELSE 'Cash loans' END",
                 "NAME_CONTRACT_STATUS": "CASE WHEN o_orderstatus = 'F' THEN 'Approved' WHEN o_orderstatus = 'O' "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from credit_marts.functions import age_years
 from credit_marts.operators import checks, conform, marts, profile, reports
-from credit_marts.sources import TableSpec, ensure_schemas, land, work_dir
+from credit_marts.sources import TableSpec, csv_to_table, ensure_schemas, land, read_csv, work_dir
 from credit_marts.plans import BronzeJob
 from workloads import sql
 from workloads.credit_profiles import rounded_averages
@@ -609,15 +609,17 @@ def _rules() -> list[checks.Rule]:
         checks.in_range("l_quantity", 2, 49),
         checks.in_set("l_returnflag", ("A", "N")),
         checks.in_range("l_discount", high=0.05),
+        checks.in_range("l_quantity", high=45),
     ]
 
 
 def _expectations_sql() -> str:
     failing = {
         "not_null(l_orderkey)": "l_orderkey IS NULL",
-        "in_range(l_quantity)": "l_quantity < 2 OR l_quantity > 49",
+        "in_range(l_quantity, 2..49)": "l_quantity < 2 OR l_quantity > 49",
         "in_set(l_returnflag)": "l_returnflag NOT IN ('A', 'N')",
-        "in_range(l_discount)": "l_discount > 0.05",
+        "in_range(l_discount, ..0.05)": "l_discount > 0.05",
+        "in_range(l_quantity, ..45)": "l_quantity > 45",
     }
     return " UNION ALL ".join(
         f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {fails}) AS failed_count, count(*) AS total_rows "
@@ -753,8 +755,41 @@ def _ingest_roundtrip(t: Tables) -> DataFrame:
     return t.spark.table(spec.target_table)
 
 
+def _as_csv(t: Tables) -> str:
+    """Orders as CSV files with headers: commas and quotes in a text column, an empty and a NULL text."""
+    folder = f"{work_dir(t.spark)}/orders_csv"
+    note = "CASE o_orderkey % 5 WHEN 0 THEN 'a, \"b\"' WHEN 1 THEN '' WHEN 2 THEN 'NA' WHEN 3 THEN o_orderstatus END"
+    rows = t.orders.selectExpr(
+        "o_orderkey AS SK_ID_PREV", "o_custkey AS SK_ID_CURR", "o_totalprice AS AMT_CREDIT",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_totalprice AS BIGINT) END AS CNT_PAYMENT", f"{note} AS NOTE",
+        "o_orderstatus = 'F' AS CLOSED",
+    )
+    rows.repartition(3).write.option("header", True).option("escape", '"').option("emptyValue", '""').csv(folder)
+    return folder
+
+
+_CSV_SQL = (
+    "SELECT o_orderkey AS SK_ID_PREV, o_custkey AS SK_ID_CURR, o_totalprice AS AMT_CREDIT, "
+    "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(trunc(o_totalprice) AS DOUBLE) END AS CNT_PAYMENT, "
+    "CASE o_orderkey % 5 WHEN 0 THEN 'a, \"b\"' WHEN 1 THEN '' WHEN 2 THEN 'NA' WHEN 3 THEN o_orderstatus END AS NOTE, "
+    "{closed} AS CLOSED FROM orders"
+)
+
+
+def _csv_roundtrip(t: Tables) -> DataFrame:
+    """CSV files loaded into a table, types by name."""
+    folder = _as_csv(t)
+    ensure_schemas(t.spark, layers=["bronze"], prefix="csv_", location=folder.rpartition("/")[0])
+    csv_to_table(t.spark, folder, "spark_catalog.csv_bronze.orders")
+    return t.spark.table("spark_catalog.csv_bronze.orders")
+
+
 SOURCES: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
     "ingest_roundtrip": (_ingest_roundtrip, "SELECT * FROM orders"),
+    "csv_roundtrip": (_csv_roundtrip, _CSV_SQL.format(closed="CAST(o_orderstatus = 'F' AS VARCHAR)")),
+    "csv_inferred_types": (
+        lambda t: read_csv(t.spark, _as_csv(t), infer=True), _CSV_SQL.format(closed="o_orderstatus = 'F'"),
+    ),
 }
 
 ALL = {**PROFILE, **CONFORM, **MARTS, **CHECKS, **SOURCES}
