@@ -47,7 +47,7 @@ KINDS = [*PATTERNS, "crf"]
 _QUICK = {"access": re.compile(r"AKIA[A-Z0-9]{12,}"), "hex": re.compile(r"[0-9a-f]{32,}")}
 _KEYWORD = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.I)
 
-FIT_ROWS = 20_000  # documents the field is trained on
+FIT_ROWS = 10_000  # documents the field is trained on
 REACH = 5  # tokens on each side of a secret that are trained on with it
 LEAST_CHARS = 12
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
@@ -78,33 +78,61 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-# Shape features of a token, each 0 or 1.
-_TESTS = [
+class _Skeleton(dict):
+    """Characters to their class: a letter becomes one of its case and kind, an ASCII digit 0."""
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        if char.isalpha() and char.islower():
+            self[code] = "a" if code < 128 else "\u00e0"
+        elif char.isalpha() and char.isupper():
+            self[code] = "A" if code < 128 else "\u00c0"
+        else:
+            self[code] = "0" if "0" <= char <= "9" else char
+        return self[code]
+
+
+# Features of a token, each 0 or 1. The first ones depend on its skeleton only.
+_OF_SKELETON = [
     lambda w: len(w) >= 8, lambda w: len(w) >= 14, lambda w: len(w) >= 18, lambda w: len(w) >= 28, lambda w: len(w) <= 2,
     str.isalpha, str.islower, str.isupper, str.isalnum, lambda w: w[:1].isupper() and w[1:].islower(),
     lambda w: any(map(str.isdigit, w)), lambda w: sum(map(str.isdigit, w)) * 4 >= len(w),
     lambda w: sum(a.isdigit() != b.isdigit() for a, b in zip(w, w[1:], strict=False)) >= 4,
     lambda w: any(map(str.isupper, w[1:])) and any(map(str.isdigit, w)),
     lambda w: any(map(str.islower, w)) and any(map(str.isdigit, w)),
-    lambda w: re.search(r"[0-9a-f]{16}", w) is not None, lambda w: re.search(r"[A-Z0-9]{16}", w) is not None,
-    lambda w: re.search(r"[A-Za-z0-9+/_-]{16}", w) is not None,
+    lambda w: re.search(r"[0-9A-Z]{16}", w) is not None, lambda w: re.search(r"[A-Za-z0-9+/_-]{16}", w) is not None,
     lambda w: w in ("=", ":", ":=", "=>"), lambda w: "=" in w[1:], lambda w: ":" in w[1:-1], lambda w: w[-1:] in ("=", ":"),
     lambda w: w[:1] in "\"'" and len(w) > 1, lambda w: w[-1:] in "\"',;",
-    lambda w: re.search(r"pass|secret|token|key|cred|auth", w, re.I) is not None,
-    lambda w: re.search(r"https?:|www|@|/\w+/", w) is not None, lambda w: re.fullmatch(r"[\W_]+", w) is not None,
-    lambda w: len(set(w)) * 2 > len(w) + 6, lambda w: not w.isascii(),
+    lambda w: re.fullmatch(r"[\W_]+", w) is not None, lambda w: not w.isascii(),
+    lambda w: "@" in w or re.search(r":/|/\w+/", w) is not None,
 ]
-SHAPES = len(_TESTS) + 1  # and a constant
+_HEX = re.compile(r"[0-9a-f]{16}")
+_NAMES = re.compile(r"pass|secret|token|key|cred|auth", re.I)
+_OF_WORD = [
+    lambda w: len(w) >= 16 and _HEX.search(w) is not None,
+    lambda w: _NAMES.search(w) is not None,
+    lambda w: len(set(w)) * 2 > len(w) + 6,
+]
+SHAPES = len(_OF_SKELETON) + len(_OF_WORD) + 1  # and a constant
+
+_classes = _Skeleton()
+_known: dict[str, list[bool]] = {}
 
 
 def shapes(words: list[str]) -> np.ndarray:
+    if len(_known) > 100_000:
+        _known.clear()
+    rows = []
+    for word in words:
+        skeleton = word.translate(_classes)
+        found = _known.get(skeleton)
+        if found is None:
+            found = _known[skeleton] = [bool(test(skeleton)) for test in _OF_SKELETON]
+        rows.append(found)
     out = np.ones((len(words), SHAPES), dtype=np.float32)
-    for i, word in enumerate(words):
-        if word.isalpha() and len(word) < 14:  # most words: what is left depends on few tests
-            short = word[:64]
-            out[i, :-1] = [test(short) for test in _TESTS]
-        else:
-            out[i, :-1] = [test(word) for test in _TESTS]
+    out[:, : len(_OF_SKELETON)] = np.array(rows, dtype=bool).reshape(len(words), len(_OF_SKELETON))
+    for i, test in enumerate(_OF_WORD, start=len(_OF_SKELETON)):
+        out[:, i] = np.fromiter(map(test, words), bool, len(words))
     return out
 
 
@@ -165,12 +193,13 @@ class Field:
 FORBIDDEN = -1e9
 
 
-def train(words: np.ndarray, tags: np.ndarray, file: np.ndarray, rounds: int = 150, rate: float = 0.1) -> Field:
+def train(words: np.ndarray, tags: np.ndarray, file: np.ndarray, rounds: int = 100, rate: float = 0.15) -> Field:
     """Maximise the likelihood of tag sequences by gradient steps on forward and backward sums.
 
     ``words`` is windows x tokens x shapes, ``tags`` windows x tokens, ``file`` windows x features.
     """
     windows, length, _ = words.shape
+    words = words.astype(np.float64)
     chance = np.random.default_rng(0)
     field = Field(*(chance.normal(0, 0.01, (n, 3)) for n in (SHAPES, SHAPES, SHAPES, FILE_FEATURES, 3)))
     parts = {"own": field.own, "before": field.before, "after": field.after, "file": field.file, "moves": field.moves}
@@ -193,9 +222,10 @@ def train(words: np.ndarray, tags: np.ndarray, file: np.ndarray, rounds: int = 1
         pairs = np.exp(
             ahead[:, :-1, :, None] + field.moves + (emitted + behind)[:, 1:, None, :] - whole[:, None, None, None]
         ).sum((0, 1))
+        both = ([0, 1], [0, 1])
         slopes = {
-            "own": np.einsum("wtf,wta->fa", words, wrong), "before": np.einsum("wtf,wta->fa", words[:, :-1], wrong[:, 1:]),
-            "after": np.einsum("wtf,wta->fa", words[:, 1:], wrong[:, :-1]), "file": np.einsum("wf,wta->fa", file, wrong),
+            "own": np.tensordot(words, wrong, both), "before": np.tensordot(words[:, :-1], wrong[:, 1:], both),
+            "after": np.tensordot(words[:, 1:], wrong[:, :-1], both), "file": file.T @ wrong.sum(1),
             "moves": pairs - true_moves,
         }
         for name, part in parts.items():
