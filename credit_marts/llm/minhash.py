@@ -262,12 +262,16 @@ def near_duplicates(
     labelled = steps.store(labelled.withColumn("component", F.coalesce("component", "id")))
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed_up = labelled.join(open_keys.where("low <> high").select("key"), "key", "left_semi")
-    mixed_up = steps.store(mixed_up.join(about, "id"))
+    keys = crowded.groupBy("id").agg(F.collect_set("key").alias("keys"))  # as many as there are bands
+    mixed_up = steps.store(mixed_up.join(about, "id").join(keys, "id"))
     left, right = (
         mixed_up.select("key", *[F.col(c).alias(n) for c, n in (
-            ("id", s), ("n", f"n_{s}"), ("sketch", f"sketch_{s}"), ("component", f"component_{s}"))]) for s in "ab"
+            ("id", s), ("n", f"n_{s}"), ("sketch", f"sketch_{s}"), ("component", f"component_{s}"), ("keys", f"keys_{s}"))]) for s in "ab"
     )
-    second = left.join(right, "key").where(f"component_a <> component_b AND a < b AND {close}").select("a", "b").distinct()
+    # A pair that shares several buckets is looked at in the one with the smallest key.
+    once = "array_min(array_intersect(keys_a, keys_b)) = key"
+    second = left.join(right, "key").where(f"component_a <> component_b AND a < b AND {close} AND {once}")
+    second = second.select("a", "b").distinct()
     second = steps.store(second.join(first, ["a", "b"], "left_anti"))
     more = steps.store(verified(second, kept, size, percent))
     united = components(links.unionAll(more), steps) if more.take(1) else united
