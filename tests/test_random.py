@@ -46,7 +46,7 @@ def test_dedup(spark, rows):
     best = {}
     for k, v in rows:
         if k is not None:
-            best[k] = min(best.get(k, v), v, key=lambda x: (x is not None, x))
+            best[k] = min(best.get(k, v), v, key=lambda x: (x is None, x))  # values before NULL
     expected.update(best.items())
     df = frame(spark, rows)
     assert Counter(map(tuple, conform.dedup(df, ["k"]).collect())) == expected
