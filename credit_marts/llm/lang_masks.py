@@ -6,7 +6,10 @@ A text's n-grams are counted per language, the expected false ones are taken off
 with most n-grams left is chosen.
 
 A language contains an n-gram if it is not much rarer there than in the language that uses it most.
-Counts come from a bounded sample of documents per language, by hash of the id.
+Counts come from a bounded sample of documents per language, by hash of the id; every n-gram of the
+sample is put in, however rare. Rates are worked out and slots joined in Spark, so the driver holds
+the filter and no list of n-grams. The filter has more slots the more n-grams a language has, up to
+MOST_BYTES; beyond that the false ones become more, and are taken off as before.
 
 The text alone is looked at. Null texts and those without a letter are ``und`` with score 0, and so
 is everything when no labelled row is there to learn from. Ties go to the language that sorts first.
@@ -16,7 +19,7 @@ Repeated rows are predicted each on its own. An empty table gives an empty table
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credit_marts.llm.common import WordTable, arrow_map, crc_bucket, hashed_share, sample_share, slices, texts
+from credit_marts.llm.common import Steps, WordTable, arrow_map, crc_bucket, hashed_share, sample_share, slices, texts
 from credit_marts.llm.minhash import mixed
 
 FIT_ROWS = 3_000  # documents per language that n-grams are counted in
-MOST_GRAMS = 60_000  # n-grams in the filter, the most frequent ones
+MOST_BYTES = 1 << 25  # size of the filter, unless its least slots already need more
 FOLDS, HELD_OUT = 3, 1
 GRAMS = (1, 2, 3, 4)
-SLOT_BITS, HASHES = 20, 3
+LEAST_BITS, HASHES = 20, 3  # at least 2 ** LEAST_BITS slots
+ROOM = 8  # slots for each n-gram of the language with most
 RARER = 0.2  # an n-gram belongs to a language with at least this share of its highest rate
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -63,13 +67,21 @@ def gram_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(owners)
 
 
-def slots_of(hashes: np.ndarray) -> list[np.ndarray]:
-    return [((hashes >> np.uint64(SLOT_BITS * i)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64) for i in range(HASHES)]
+def slots_of(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The slots of each hash, of 2 ** ``bits``."""
+    start, step = hashes & np.uint64(0xFFFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
+    return [((start + np.uint64(i) * step) & np.uint64((1 << bits) - 1)).astype(np.int64) for i in range(HASHES)]
+
+
+def slot_bits(languages: int, grams: int) -> int:
+    """Of a filter of so many languages, of which none has more than ``grams`` n-grams."""
+    most = (MOST_BYTES // (-(-languages // 8) or 1)).bit_length() - 1
+    return max(LEAST_BITS, min((ROOM * grams).bit_length(), most))
 
 
 @dataclass
 class Filter:
-    """Slots of language masks; 64 languages to a word of a mask."""
+    """Slots of language masks; eight languages to a byte of a mask."""
 
     languages: list[str]
     slots: np.ndarray
@@ -77,14 +89,23 @@ class Filter:
     @classmethod
     def of(cls, languages: list[str], hashes: np.ndarray, owner: np.ndarray) -> Filter:
         """``owner`` is the number of the language that contains the n-gram beside it."""
-        slots = np.zeros((1 << SLOT_BITS, -(-len(languages) // 8) or 1), dtype=np.uint8)
-        for places in slots_of(hashes):
-            np.bitwise_or.at(slots, (places, owner // 8), (1 << (owner % 8)).astype(np.uint8))
-        return cls(languages, slots)
+        bits = slot_bits(len(languages), int(np.bincount(owner).max(initial=0)))
+        masks = cls.empty(languages, bits)
+        for places in slots_of(hashes, bits):
+            np.bitwise_or.at(masks.slots, (places, owner // 8), (1 << (owner % 8)).astype(np.uint8))
+        return masks
+
+    @classmethod
+    def empty(cls, languages: list[str], bits: int) -> Filter:
+        return cls(languages, np.zeros((1 << bits, -(-len(languages) // 8) or 1), dtype=np.uint8))
+
+    @property
+    def bits(self) -> int:
+        return len(self.slots).bit_length() - 1
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         """One row per n-gram, one column per language: whether it may be contained."""
-        masks = np.bitwise_and.reduce([self.slots[p] for p in slots_of(hashes)])
+        masks = np.bitwise_and.reduce([self.slots[p] for p in slots_of(hashes, self.bits)])
         return np.unpackbits(masks, axis=1, bitorder="little")[:, : len(self.languages)]
 
     def false_rates(self) -> np.ndarray:
@@ -143,19 +164,34 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     for lang, size in sizes.items():
         chosen = chosen | ((F.col("lang") == lang) & hashed_share("id", sample_share(size, rows)))
     grams = arrow_map(known.where(chosen).select("lang", "text"), _counted, "lang string, gram bigint, n bigint")
-    grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    top = grams.groupBy("gram").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    top = top.orderBy(F.desc("all"), "gram").limit(MOST_GRAMS).collect()  # bounded by the parameter
+    grams = Steps(docs.sparkSession).store(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     languages = sorted(sizes)
     number = {lang: i for i, lang in enumerate(languages)}
-    table = np.zeros((len(top), max(len(languages), 1)))
-    for i, row in enumerate(top):
-        for own in row["by"]:
-            table[i, number[own["lang"]]] = own["n"]
-    rates = table / np.maximum(table.sum(0), 1)
-    gram, owner = np.nonzero((rates > 0) & (rates >= RARER * rates.max(1, keepdims=True)))
-    hashes = np.array([r["gram"] for r in top], dtype=np.int64).view(np.uint64)
-    return Filter.of(languages, hashes[gram], owner)
+    found = grams.groupBy("lang").agg(F.sum("n").alias("total")).collect()  # one row per language
+    totals = docs.sparkSession.createDataFrame(
+        [(r["lang"], number[r["lang"]], r["total"]) for r in found], "lang string, number int, total bigint"
+    )
+    rates = grams.join(F.broadcast(totals), "lang").select("gram", "number", (F.col("n") / F.col("total")).alias("rate"))
+    own = rates.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("number", "rate")).alias("by"))
+    own = own.select("gram", "most", F.explode("by").alias("own")).where(F.col("own.rate") >= RARER * F.col("most"))
+    own = Steps(docs.sparkSession).store(own.select("gram", F.col("own.number").alias("number")))
+    counts = [r["count"] for r in own.groupBy("number").count().collect()]
+    masks = Filter.empty(languages, slot_bits(len(languages), max(counts, default=0)))
+    slots = arrow_map(own, _placed(masks.bits), "slot bigint, byte int, mask int")
+    slots = slots.groupBy("slot", "byte").agg(F.bit_or("mask").cast("tinyint").alias("mask")).toArrow()  # no more than the filter
+    masks.slots[slots["slot"].to_numpy(), slots["byte"].to_numpy()] = slots["mask"].to_numpy().view(np.uint8)
+    return masks
+
+
+def _placed(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            owner = batch["number"].to_numpy()
+            byte, mask = pa.array(owner // 8, pa.int32()), pa.array(1 << (owner % 8), pa.int32())
+            for places in slots_of(batch["gram"].to_numpy().view(np.uint64), bits):
+                yield pa.RecordBatch.from_arrays([pa.array(places), byte, mask], ["slot", "byte", "mask"])
+
+    return batches
 
 
 _tables: dict[tuple, tuple[WordTable, np.ndarray]] = {}

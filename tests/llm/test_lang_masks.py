@@ -1,5 +1,7 @@
 """Language masks: the filter forgets nothing, and held-out documents get their language."""
 
+import random
+
 import numpy as np
 
 from credit_marts.llm import lang_masks
@@ -53,3 +55,29 @@ def test_odd_tables(spark):
     assert unlabelled == []
     none = frame.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")
     assert {r["lang_pred"] for r in lang_masks.predicted(none).collect()} == {"und"}
+
+
+def test_rare_language_beside_large_ones(spark):
+    chance = random.Random(4)
+    letters, signs = "abcdefghijklmnopqrstuvwxyz", [chr(0x4E00 + i) for i in range(3000)]
+    docs = []
+    for lang in ("aa", "bb", "cc"):  # together more than 60,000 n-grams, all more frequent than those of the rare one
+        words = ["".join(chance.choices(letters, k=6)) for _ in range(4000)]
+        docs += [(" ".join(chance.choices(words, k=800)), lang) for _ in range(150)]
+    words = ["".join(chance.sample(signs, 6)) for _ in range(80)]
+    docs += [(" ".join(chance.choices(words, k=12)), "rare") for _ in range(30)]
+    frame = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id bigint, text string, lang string")
+    rows = lang_masks.predicted(frame).join(frame.selectExpr("doc_id AS id", "lang"), "id").where("held_out").collect()
+    for lang in ("aa", "bb", "cc", "rare"):
+        own = [r["lang_pred"] for r in rows if r["lang"] == lang]
+        assert len(own) > 3 and own == [lang] * len(own)
+
+
+def test_filter_grows_with_its_grams():
+    chance = np.random.default_rng(5)
+    hashes = chance.integers(0, 2**63, 400_000, dtype=np.uint64)
+    masks = lang_masks.Filter.of(["a", "b"], hashes, np.zeros(400_000, dtype=np.int64))
+    assert masks.has(hashes)[:, 0].all() and masks.false_rates()[0] < 0.05
+    others = masks.has(chance.integers(0, 2**63, 20_000, dtype=np.uint64))
+    assert abs(others.mean(axis=0) - masks.false_rates()).max() < 0.01
+    assert lang_masks.slot_bits(2000, 400_000) == lang_masks.LEAST_BITS
