@@ -6,8 +6,8 @@ The field is trained here, in numpy, on a bounded sample of documents in which t
 matches are the secrets, so it finds what looks and stands like them but is written otherwise.
 
 Viterbi decoding is exact and yet skips most of a text: where a token speaks for "outside" by more
-than all transitions together can make up for, the best path goes through "outside", so only the
-stretches between such tokens are decoded.
+than all transitions together can make up for, and an "inside" after it, which would have to become
+a "begin", the best path goes through "outside", so only the stretches between such tokens are decoded.
 
 Pattern matches stay; a found span that overlaps none of them is added as kind ``crf`` if it has at
 least LEAST_CHARS characters with a letter and a digit among them. Positions are code points, ends
@@ -169,8 +169,11 @@ class Field:
     def decode(self, emissions: np.ndarray) -> np.ndarray:
         """The best tags of one text."""
         tags = np.full(len(emissions), OUTSIDE)
-        swing = 2 * (self.moves.max() - self.moves[self.moves > -1e8].min())
-        unsure = np.flatnonzero(emissions[:, OUTSIDE] - emissions[:, :OUTSIDE].max(axis=1) <= swing)
+        reach = self.moves.max() - self.moves[self.moves > -1e8].min()
+        # Making a token "outside" changes two moves; an "inside" after it must become a "begin", and a third changes.
+        slack = np.full(len(emissions), 2 * reach)
+        slack[:-1] += np.maximum(0, reach + emissions[1:, INSIDE] - emissions[1:, BEGIN])
+        unsure = np.flatnonzero(emissions[:, OUTSIDE] - emissions[:, :OUTSIDE].max(axis=1) <= slack)
         for stretch in np.split(unsure, np.flatnonzero(np.diff(unsure) > 1) + 1) if len(unsure) else []:
             tags[stretch] = self.viterbi(emissions[stretch], last=stretch[-1] == len(emissions) - 1)
         return tags

@@ -58,6 +58,13 @@ def test_decoding_finds_the_best_of_all_sequences(strong):
         assert worth(tuple(field.decode(emissions).tolist())) == pytest.approx(worth(best))
 
 
+def test_decoding_keeps_a_begin_that_an_inside_needs():
+    field = random_field(np.random.default_rng(8), 0.0)
+    field.moves[:] = 0
+    field.moves[secret_crf.OUTSIDE, secret_crf.INSIDE] = secret_crf.FORBIDDEN
+    assert field.decode(np.array([[-1.0, -9, 0], [0, 5, 0]])).tolist() == [secret_crf.BEGIN, secret_crf.INSIDE]
+
+
 def test_training_learns_what_a_secret_looks_like():
     chance, windows, tags = random.Random(3), [], []
     for _ in range(300):
