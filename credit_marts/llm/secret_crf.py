@@ -2,8 +2,9 @@
 
 A text's tokens (runs without white space) are tagged as begin, inside or outside of a secret. What
 speaks for a tag are features of the token's shape, of the tokens beside it and of the whole text.
-The field is trained here, in numpy, on a bounded sample of documents in which the patterns' own
-matches are the secrets, so it finds what looks and stands like them but is written otherwise.
+The field is trained here, in numpy, on bounded samples of documents with a match of a pattern and of
+those without, each by hash, where the patterns' own matches are the secrets; so it finds what looks
+and stands like them but is written otherwise. All documents are searched for matches first.
 
 Viterbi decoding is exact and yet skips most of a text: where a token speaks for "outside" by more
 than all transitions together can make up for, and an "inside" after it, which would have to become
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from credit_marts.llm.common import WordTable, arrow_map, hashed_share, sample_share, ship, slices, texts
+from credit_marts.llm.common import Steps, WordTable, arrow_map, hashed_share, sample_share, ship, slices, texts
 
 # The patterns, with the group and the least characters that make a match count.
 PATTERNS = {
@@ -47,8 +48,10 @@ KINDS = [*PATTERNS, "crf"]
 _QUICK = {"access": re.compile(r"AKIA[A-Z0-9]{12,}"), "hex": re.compile(r"[0-9a-f]{32,}")}
 _KEYWORD = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.I)
 
-FIT_ROWS = 10_000  # documents the field is trained on
+FIT_ROWS = 10_000  # documents without a match the field is trained on, about
+MATCH_ROWS = 4_000  # documents with a match it is trained on besides, at most
 REACH = 5  # tokens on each side of a secret that are trained on with it
+WINDOW = 2 * REACH + 3
 LEAST_CHARS = 12
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
@@ -200,9 +203,11 @@ def train(words: np.ndarray, tags: np.ndarray, file: np.ndarray, rounds: int = 1
     """Maximise the likelihood of tag sequences by gradient steps on forward and backward sums.
 
     ``words`` is windows x tokens x shapes, ``tags`` windows x tokens, ``file`` windows x features.
+    Places without any shape, after the end of a short text, are outside for certain.
     """
     windows, length, _ = words.shape
     words = words.astype(np.float64)
+    beyond = np.where(words.any(axis=2)[:, :, None], 0.0, [FORBIDDEN, FORBIDDEN, 0.0])
     chance = np.random.default_rng(0)
     field = Field(*(chance.normal(0, 0.01, (n, 3)) for n in (SHAPES, SHAPES, SHAPES, FILE_FEATURES, 3)))
     parts = {"own": field.own, "before": field.before, "after": field.after, "file": field.file, "moves": field.moves}
@@ -211,7 +216,7 @@ def train(words: np.ndarray, tags: np.ndarray, file: np.ndarray, rounds: int = 1
     true_moves = np.einsum("wta,wtb->ab", truth[:, :-1], truth[:, 1:])
     for step in range(1, rounds + 1):
         field.moves[OUTSIDE, INSIDE] = FORBIDDEN
-        emitted = words @ field.own + (file @ field.file)[:, None, :]
+        emitted = words @ field.own + (file @ field.file)[:, None, :] + beyond
         emitted[:, 1:] += (words @ field.before)[:, :-1]
         emitted[:, :-1] += (words @ field.after)[:, 1:]
         ahead, behind = np.zeros_like(emitted), np.zeros_like(emitted)
@@ -257,19 +262,31 @@ def tagged(text: str) -> tuple[list[str], np.ndarray]:
     return [m.group() for m in found], tags
 
 
+def _matching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys of the texts with a match of a pattern."""
+    for batch in batches:
+        for part in slices(batch):
+            has = [bool(base_spans(t)) for t in part["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([part["key"].filter(pa.array(has, pa.bool_()))], ["key"])
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text, a window around every secret and one anywhere, all of one length."""
-    length = 2 * REACH + 3
+    """Of each text, a window around every secret and one anywhere, of one length or the whole text."""
     for batch in batches:
         rows = []
-        for text in batch["text"].to_pylist():
+        for text, chosen in zip(batch["text"].to_pylist(), batch["chosen"].to_pylist(), strict=True):
             words, tags = tagged(text)
-            centres = np.flatnonzero(tags == BEGIN).tolist()[:4] + [hash(len(text)) % max(len(words), 1)]
-            for centre in centres if len(words) >= length else []:
-                at = min(max(0, centre - REACH), len(words) - length)
+            secrets = np.flatnonzero(tags == BEGIN).tolist()[:4]
+            if bool(secrets) != chosen:  # has a match, but is not in the sample of those
+                continue
+            centres = secrets + [hash(len(text)) % max(len(words), 1)]
+            if len(words) < WINDOW:
+                centres = [0] if secrets else []
+            for centre in centres:
+                at = max(0, min(centre - REACH, len(words) - WINDOW))
                 while at > 0 and tags[at] == INSIDE:
                     at -= 1
-                rows.append((words[at : at + length], tags[at : at + length].tolist(), file_features(text, len(words))))
+                rows.append((words[at : at + WINDOW], tags[at : at + WINDOW].tolist(), file_features(text, len(words))))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 3
         kinds = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays(
@@ -277,16 +294,26 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = FIT_ROWS) -> Field | None:
-    """The field of a sample of about ``rows`` documents; None if no pattern matches there."""
-    lines = texts(docs, id_col, text_col)
+def fit(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = FIT_ROWS, matches: int = MATCH_ROWS
+) -> Field | None:
+    """The field of a sample of about ``rows`` documents without a match and at most ``matches`` with
+    one, by hash of id and text; None if no document of the table has a match."""
+    lines = texts(docs, id_col, text_col).withColumn("key", F.xxhash64("id", "text"))
+    steps = Steps(docs.sparkSession)
+    matching = steps.store(arrow_map(lines.select("key", "text"), _matching, "key bigint").distinct())
+    # Bounded by the parameter, so it is sent to the documents.
+    chosen = steps.store(matching.orderBy("key").limit(matches).withColumn("chosen", F.lit(True)))
+    if chosen.isEmpty():
+        return None
     share = sample_share(lines.count(), rows)
-    sample = lines.where(F.coalesce(hashed_share("id", share), F.lit(False))).select("text")
+    sample = lines.join(F.broadcast(chosen), "key", "left").where(F.col("chosen") | hashed_share("key", share))
+    sample = sample.select("text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
     found = arrow_map(sample, _windows, "words array<string>, tags array<int>, file array<double>").toArrow()
-    tags = np.array(found["tags"].to_pylist(), dtype=np.int64)
-    if not len(tags) or not (tags == BEGIN).any():
-        return None
-    words = np.array([shapes(w) for w in found["words"].to_pylist()])
+    own = found["words"].to_pylist()
+    words, tags = np.zeros((len(own), WINDOW, SHAPES), dtype=np.float32), np.full((len(own), WINDOW), OUTSIDE)
+    for i, (some, given) in enumerate(zip(own, found["tags"].to_pylist(), strict=True)):
+        words[i, : len(some)], tags[i, : len(some)] = shapes(some), given
     return train(words, tags, np.array(found["file"].to_pylist()))
 
 

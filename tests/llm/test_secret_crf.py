@@ -109,3 +109,22 @@ def test_tables(spark):
 def test_overlapping_spans_are_masked_once():
     spans = [("assign", 2, 9), ("hex", 5, 12), ("crf", 14, 16)]
     assert secret_crf.masked("ab1234567890..xy.", spans, "#") == "ab#..#."
+
+
+def test_few_secrets_in_a_large_table_are_learned_from(spark):
+    chance = random.Random(6)
+    plain = "nothing to see here at all, only some words of no great length"
+    docs = [(i, f"{plain} {i}") for i in range(400)]
+    for i in (None, 900, 901, 902):
+        docs.append((i, f'{plain} token = "{chance.getrandbits(160):040x}" and so on'))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    words, tags = secret_crf.tagged(docs[-1][1])
+    for rows in (4, 40):
+        field = secret_crf.fit(frame, rows=rows)
+        assert field is not None
+        file = np.array(secret_crf.file_features(docs[-1][1], len(words)))
+        assert field.decode(field.emissions(field.word_scores(words), file)).tolist() == tags.tolist()
+    assert secret_crf.fit(frame.where("doc_id < 400")) is None
+    assert secret_crf.fit(frame.where("doc_id IS NULL")) is not None
+    short = spark.createDataFrame([(1, "password=hunter2hunter"), (2, "some words")], "doc_id bigint, text string")
+    assert secret_crf.fit(short) is not None  # texts shorter than a window
