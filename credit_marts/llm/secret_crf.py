@@ -10,8 +10,8 @@ Viterbi decoding is exact and yet skips most of a text: where a token speaks for
 than all transitions together can make up for, and an "inside" after it, which would have to become
 a "begin", the best path goes through "outside", so only the stretches between such tokens are decoded.
 
-Pattern matches stay; a found span that overlaps none of them is added as kind ``crf`` if it has at
-least LEAST_CHARS characters with a letter and a digit among them. Positions are code points, ends
+Pattern matches stay; every span that the field finds is added as kind ``crf``, without quotes and
+punctuation around it, unless pattern matches cover it wholly. Positions are code points, ends
 exclusive. Null and empty texts have no spans. Repeated rows and ids, null ids included, are
 scanned each on its own. An empty table gives an empty table; other columns are not read.
 """
@@ -52,7 +52,6 @@ FIT_ROWS = 10_000  # documents without a match the field is trained on, about
 MATCH_ROWS = 4_000  # documents with a match it is trained on besides, at most
 REACH = 5  # tokens on each side of a secret that are trained on with it
 WINDOW = 2 * REACH + 3
-LEAST_CHARS = 12
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
 _TOKEN = re.compile(r"\S+")
@@ -329,7 +328,7 @@ def _table(field: Field) -> WordTable:
 
 
 def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
-    """Spans of tagged tokens that overlap no match of a pattern and look like a secret."""
+    """Spans of tagged tokens, each whole, but for those that matches of patterns cover."""
     found, open_at, end = [], None, 0
     for match, tag in zip(_TOKEN.finditer(text), tags.tolist(), strict=True):
         if tag != INSIDE and open_at is not None:
@@ -344,9 +343,11 @@ def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
     for start, end in found:
         body = text[start:end]
         start, end = start + len(body) - len(body.lstrip(_TRIM)), end - len(body) + len(body.rstrip(_TRIM))
-        body = text[start:end]
-        free = all(end <= s or start >= e for _, s, e in base)
-        if free and len(body) >= LEAST_CHARS and any(map(str.isdigit, body)) and any(map(str.isalpha, body)):
+        bare = start
+        for _, s, e in base:  # in order of their starts
+            if s <= bare:
+                bare = max(bare, e)
+        if bare < end:
             spans.append(("crf", start, end))
     return spans
 

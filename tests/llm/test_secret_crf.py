@@ -128,3 +128,21 @@ def test_few_secrets_in_a_large_table_are_learned_from(spark):
     assert secret_crf.fit(frame.where("doc_id IS NULL")) is not None
     short = spark.createDataFrame([(1, "password=hunter2hunter"), (2, "some words")], "doc_id bigint, text string")
     assert secret_crf.fit(short) is not None  # texts shorter than a window
+
+
+@pytest.mark.parametrize(
+    ("text", "tags", "left"),
+    [
+        ("x password=hunter2hunter!Xy9$kkQ2 y", [2, 0, 2], "x [secret] y"),  # the pattern ends at the first "!"
+        ("x key: correcthorsebattery y", [2, 2, 0, 2], "x key: [secret] y"),
+        ("x pw ab12cd34, y", [2, 2, 0, 2], "x pw [secret], y"),
+        ('x token = "hunter2hunter" y', [2, 0, 1, 1, 2], 'x [secret]" y'),
+        ("x token=hunter2hunter !? y", [2, 0, 1, 2], "x [secret] y"),
+        ('x "," y', [2, 0, 2], 'x "," y'),
+    ],
+)
+def test_found_spans_are_kept_whole(text, tags, left):
+    base = secret_crf.base_spans(text)
+    spans = secret_crf.added_spans(text, np.array(tags), base)
+    assert secret_crf.masked(text, secret_crf.ordered(base + spans), "[secret]") == left
+    assert len(spans) == (left != text and not left.startswith('x [secret]"'))
