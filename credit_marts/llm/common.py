@@ -60,6 +60,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def ranges(spark: SparkSession, units: int, each: int = 2_000_000) -> int:
+    """How many ranges to sort ``units`` (rows, tokens, bytes) in: they grow with the data, so that one
+    range stays at about ``each``, and are no fewer than the session's shuffle partitions."""
+    return max(partitions(spark), -(-units // each))
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under names of its own; a missing text is empty."""
     return df.select(

@@ -74,9 +74,7 @@ def test_one_of_equal_texts_stays(stages):
     assert after.exceptAll(before).count() == 0
 
 
-def test_one_of_near_copies_stays(stages):
-    from test_minhash import all_pairs
-
+def test_one_of_near_copies_stays(stages, all_pairs):
     before, after = stages["near_dedup"]
     rows = before.collect()
     groups = all_pairs([(r["doc_id"], r["text"]) for r in rows if r["doc_id"] is not None], 5, 80)

@@ -12,20 +12,6 @@ from credit_marts.llm.common import Steps
 SF = "/root/testdata/sf0.001"
 
 
-def all_pairs(docs, size, percent):
-    """(n_shingles, component) by id, from every pair."""
-    sets = {i: minhash.shingle_set(t or "", size) for i, t in docs}
-    groups = UnionFind()
-    ids = sorted(sets)
-    for n, a in enumerate(ids):
-        groups.find(a)
-        for b in ids[n + 1 :]:
-            shared = len(sets[a] & sets[b])
-            if shared and 100 * shared >= percent * len(sets[a] | sets[b]):
-                groups.union(a, b)
-    return {i: (len(sets[i]), groups.find(i)) for i in ids}
-
-
 def found(df):
     rows = df.collect()
     assert all(r["kept"] == (r["id"] == r["component_id"]) for r in rows)
@@ -81,7 +67,7 @@ def test_long_texts_are_bid_for_in_parts(monkeypatch):
 
 
 @pytest.mark.parametrize("size", [4, 5])
-def test_groups_of_made_texts(spark, size):
+def test_groups_of_made_texts(spark, size, all_pairs):
     chance = random.Random(4)
     words = [f"w{i}" for i in range(60)]
     docs, base = [], [chance.choice(words) for _ in range(80)]
@@ -110,7 +96,7 @@ def test_odd_rows(spark):
     assert minhash.near_duplicates(frame.limit(0)).collect() == []
 
 
-def test_given_documents(spark):
+def test_given_documents(spark, all_pairs):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     expected = all_pairs([(r["doc_id"], r["text"]) for r in docs.collect()], 4, 80)
     assert found(minhash.near_duplicates(docs, size=4)) == expected
