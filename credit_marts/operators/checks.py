@@ -151,6 +151,83 @@ def path_agreement(
     )
 
 
+@dataclass(frozen=True)
+class Route:
+    """An owner that the rows of ``child`` name themselves and reach through ``bridge`` by ``key``."""
+
+    child: str
+    key: str
+    bridge: str
+    owner: str
+
+
+def reference_summary(
+    tables: Mapping[str, DataFrame], links: Sequence[Link], routes: Sequence[Route] = ()
+) -> DataFrame:
+    """What ``fk_report`` and ``path_agreement`` find, with one scan and one grouping of every child,
+    as (check_name, child, detail, failed_count).
+
+    A child is reduced to its distinct combinations of keys with their row counts. Each reference
+    looks its key up in turn and then folds that key away: the counts found so far go along as
+    sums, so the next reference meets fewer rows, and in the end one row is left. A hot key is one
+    row per combination before the first join and one row before the last; incomplete keys spread
+    over all tasks and match nothing.
+    """
+    children = dict.fromkeys(link.child for link in links)
+    parts = []
+    for child in children:
+        own = [link for link in links if link.child == child]
+        parts.append(_summary_of(tables, child, own, [route for route in routes if route.child == child]))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _known_keys(tables: Mapping[str, DataFrame], link: Link, bridges: Sequence[Route]) -> DataFrame:
+    """The keys a link may refer to, once each, and the owners that its routes compare. A bridge must
+    be unique on its key."""
+    key = link.parent_key or link.key
+    if bridges:
+        owners = dict.fromkeys(route.owner for route in bridges)
+        known = tables[bridges[0].bridge].select(
+            F.col(key).alias(link.key), *[F.col(o).alias(f"_via_{o}") for o in owners]
+        ).where(F.col(link.key).isNotNull())
+    else:
+        parents = [tables[p].select(F.col(key).alias(link.key)) for p in link.parents]
+        known = reduce(DataFrame.unionAll, parents).where(F.col(link.key).isNotNull()).distinct()
+    return known.withColumns({"_known": F.lit(True), "_spread": F.lit(0).cast("bigint")})
+
+
+def _summary_of(
+    tables: Mapping[str, DataFrame], child: str, links: Sequence[Link], routes: Sequence[Route]
+) -> DataFrame:
+    # Keys that a route starts from come first: what a later reference looks up stays in the rows.
+    links = sorted(links, key=lambda link: not any(route.key == link.key for route in routes))
+    keys = list(dict.fromkeys([*(link.key for link in links), *(c for r in routes for c in (r.key, r.owner))]))
+    rows = tables[child].groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    found: list[tuple[str, str, str]] = []  # check, detail, name of its sum
+    for n, link in enumerate(links):
+        name, bridges = f"_found_{n}", [route for route in routes if route.key == link.key]
+        # NULL keys get a number that no parent has, so that they do not meet in one task.
+        spread = F.when(F.col(link.key).isNull(), 1 + F.pmod(F.xxhash64(*keys), F.lit(1 << 20))).otherwise(0)
+        rows = rows.withColumn("_spread", spread).join(_known_keys(tables, link, bridges), [link.key, "_spread"], "left")
+        sums = {name: F.when(F.col("_known").isNull(), F.col("_rows")).otherwise(0)}
+        found.append(("reference", f"{link.key} -> {','.join(link.parents)}", name))
+        for route in bridges:
+            differs = F.col("_known").isNotNull() & ~F.col(route.owner).eqNullSafe(F.col(f"_via_{route.owner}"))
+            sums[f"_route_{route.owner}"] = F.when(differs, F.col("_rows")).otherwise(0)
+            found.append(("route", route.owner, f"_route_{route.owner}"))
+        before = [s for _, _, s in found if s not in sums]
+        keys = [k for k in keys if k in {l.key for l in links[n + 1 :]}]
+        totals = [F.sum(c).alias(a) for a, c in {"_rows": F.col("_rows"), **{b: F.col(b) for b in before}, **sums}.items()]
+        rows = rows.groupBy(*keys).agg(*totals)
+    listed = F.array(*[
+        F.struct(F.lit(check).alias("check_name"), F.lit(detail).alias("detail"), F.coalesce(F.col(name), F.lit(0)).alias("n"))
+        for check, detail, name in found
+    ])
+    return rows.select(F.explode(listed).alias("_one")).select(
+        "_one.check_name", F.lit(child).alias("child"), "_one.detail", F.col("_one.n").cast("bigint").alias("failed_count")
+    )
+
+
 def category_drift(
     train: DataFrame, test: DataFrame, columns: Sequence[str], unseen_only: bool = True
 ) -> DataFrame:

@@ -35,14 +35,14 @@ def standardize_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: _typed(df, c, t) for c, t in types.items()})
 
 
+def misfits(df: DataFrame, types: Mapping[str, str]) -> dict[str, Column]:
+    """Per column, whether ``standardize_types`` turns its value into NULL."""
+    return {c: F.col(c).isNotNull() & _typed(df, c, t).isNull() for c, t in types.items()}
+
+
 def cast_rejects(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """How many values of each column ``standardize_types`` turns into NULL, in one scan."""
-    return df.agg(
-        *[
-            F.count_if(F.col(c).isNotNull() & _typed(df, c, t).isNull()).alias(f"rejected_{c}")
-            for c, t in types.items()
-        ]
-    )
+    return df.agg(*[F.count_if(fails).alias(f"rejected_{c}") for c, fails in misfits(df, types).items()])
 
 
 def sentinel_to_null(

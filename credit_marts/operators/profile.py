@@ -197,6 +197,56 @@ def orphans(child: DataFrame, key: str, parents: Sequence[Parent]) -> DataFrame:
     return child.where(F.col(key).isNull()).unionAll(keyed)
 
 
+def _bloom_bits(value: Column) -> list[Column]:
+    """One bit of each of a block's words, by eight independent hashes of a value."""
+    places = [F.pmod(F.xxhash64(value, F.lit(i)), F.lit(64)).cast("int") for i in range(8)]
+    return [F.call_function("shiftleft", F.lit(1).cast("bigint"), place) for place in places]
+
+
+def _bloom_block(value: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(value, F.lit("block")), F.lit(blocks))
+
+
+def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
+    """A Bloom filter of a key column as rows (block, w0..w7) of 512 bits each, ``blocks`` at most.
+
+    Tasks fold their keys to one row per block before the exchange, so what is exchanged does not
+    grow with the keys; filters of parts of a table merge by the same bitwise OR.
+    """
+    bits = [b.alias(f"w{i}") for i, b in enumerate(_bloom_bits(F.col(key)))]
+    rows = keys.where(F.col(key).isNotNull()).select(_bloom_block(F.col(key), blocks).alias("block"), *bits)
+    return rows.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)])
+
+
+def orphans_by_bloom(
+    child: DataFrame, key: str, parents: Sequence[Parent], blocks: int = 1 << 15
+) -> DataFrame:
+    """``orphans`` for parents that are too large to broadcast and references that are mostly broken.
+
+    The parents' keys are folded to a Bloom filter of at most ``blocks`` rows of 72 bytes, which goes
+    to all tasks whatever the parents' size. A key it lacks is an orphan for certain and meets no
+    exchange; a key it may have goes through the exact anti join. About 30 keys a block leave one
+    orphan in a thousand to the join; more keys leave more of them, and change no result.
+    """
+    name = "_parent_key"
+    known = reduce(DataFrame.unionAll, [p.keys(name) for p in parents])
+    words = [f"w{i}" for i in range(8)]
+    filters = bloom_blocks(known, name, blocks).select("block", F.struct(*words).alias("_words"))
+    block = _bloom_block(F.col(key), blocks)
+    marked = child.withColumn("_block", block).join(
+        F.broadcast(filters.withColumnRenamed("block", "_block")), "_block", "left"  # ``blocks`` rows at most
+    )
+    has = reduce(
+        Column.__and__,
+        [F.col(f"_words.w{i}").bitwiseAND(b) != 0 for i, b in enumerate(_bloom_bits(F.col(key)))],
+    )
+    may = F.col(key).isNotNull() & F.coalesce(has, F.lit(False))
+    columns = [F.col(f"`{c}`") for c in child.columns]
+    sure = marked.where(~may).select(*columns)
+    rest = marked.where(may).select(*columns).join(known, F.col(key) == F.col(name), "left_anti")
+    return sure.unionAll(rest)
+
+
 def missing_event_aggregates(amount: str, day: str) -> list[Column]:
     missed = _ones(F.col(amount).isNull())
     return [

@@ -14,7 +14,7 @@ from credit_marts.operators import checks, conform, marts
 from credit_marts.plans.jobs import GoldJob, SilverJob, ingest_all
 from credit_marts.plans.lazy import LazyTables
 from credit_marts.plans.profiles import DAYS_SENTINEL, LINKS, profiles
-from credit_marts.sources import TableSpec, ensure_schemas
+from credit_marts.sources import RunLedger, TableSpec, ensure_schemas, files_fingerprint, fingerprint
 
 # Natural keys of the conformed tables. Installments have none (see below).
 SILVER_KEYS = {
@@ -163,9 +163,11 @@ def silver_links() -> tuple[checks.Link, ...]:
     )
 
 
-def _finding(check: str, table: str, detail: Column | str, df: DataFrame, count: Column | str) -> DataFrame:
+def _finding(
+    check: Column | str, table: str, detail: Column | str, df: DataFrame, count: Column | str
+) -> DataFrame:
     return df.select(
-        F.lit(check).alias("check_name"),
+        (F.lit(check) if isinstance(check, str) else check).alias("check_name"),
         F.lit(table).alias("table_name"),
         (F.lit(detail) if isinstance(detail, str) else detail).alias("detail"),
         (F.col(count) if isinstance(count, str) else count).cast("bigint").alias("failed_count"),
@@ -184,7 +186,10 @@ def _raw(bronze: Mapping[str, DataFrame], table: str) -> DataFrame:
 
 def changes(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) -> list[DataFrame]:
     """What conforming took away: values that did not fit their type (``rejected``), rows that were
-    duplicates (``dropped``), and how many rows had no key of their own before (``unique``)."""
+    duplicates (``dropped``), and how many rows had no key of their own before (``unique``).
+
+    Keys and offsets are read apart: their columns hardly overlap, so no value is read twice, and
+    the grouping by key carries nothing but keys."""
     parts = []
     for table, keys in {**SILVER_KEYS, "installments_payments": INSTALMENT_KEY}.items():
         raw = _raw(bronze, table)
@@ -192,11 +197,14 @@ def changes(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) ->
         rejected = counts.unpivot([], counts.columns, "column_name", "n")
         detail = F.substring("column_name", len("rejected_") + 1, 1000)
         parts.append(_finding("rejected", table, detail, rejected, "n"))
-        sides = raw.agg(F.count(F.lit(1)).alias("n")).unionAll(silver[table].agg((-F.count(F.lit(1))).alias("n")))
-        parts.append(_finding("dropped", table, "duplicates", sides.agg(F.sum("n").alias("n")), "n"))
-        unique = checks.unique_check(raw, keys)
-        surplus = next(c for c in unique.columns if c.startswith("duplicate_"))
-        parts.append(_finding("unique", table, ",".join(keys), unique, surplus))
+        per_key = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        total = F.coalesce(F.sum("rows"), F.lit(0))
+        kept = silver[table].agg(F.count(F.lit(1)).alias("kept")).scalar()
+        found = per_key.agg((total - kept).alias("dropped"), (total - F.count_if(complete)).alias("unique"))
+        found = found.unpivot([], ["dropped", "unique"], "found", "n")
+        detail = F.when(F.col("found") == "dropped", "duplicates").otherwise(",".join(keys))
+        parts.append(_finding(F.col("found"), table, detail, found, "n"))
     return parts
 
 
@@ -220,19 +228,22 @@ def quality_report(silver: Mapping[str, DataFrame], bronze: Mapping[str, DataFra
     """Findings that do not stop the pipeline, as (check_name, table_name, detail, failed_count):
     orphans and disagreeing routes to the applicant in the conformed tables, what conforming took
     away from the raw ones, and drift between the two samples."""
-    orphans = checks.fk_report(silver, silver_links()).select(
-        F.lit("reference").alias("check_name"),
-        F.col("child").alias("table_name"),
-        F.concat_ws(" -> ", "key", "parents").alias("detail"),
-        F.col("orphan_count").alias("failed_count"),
+    routes = [checks.Route(table, "SK_ID_PREV", "previous_application", "SK_ID_CURR") for table in TWO_ROUTES]
+    references = checks.reference_summary(silver, silver_links(), routes).withColumnRenamed("child", "table_name")
+    return reduce(
+        DataFrame.unionAll,
+        [references, *changes(bronze, silver), *drifts(bronze["application_train"], bronze["application_test"])],
     )
-    parts = [orphans, *changes(bronze, silver), *drifts(bronze["application_train"], bronze["application_test"])]
-    for table in TWO_ROUTES:
-        agreement = checks.path_agreement(
-            silver[table], silver["previous_application"], "SK_ID_PREV", "SK_ID_CURR"
-        )
-        parts.append(_finding("route", table, "SK_ID_CURR", agreement, "disagreement_count"))
-    return reduce(DataFrame.unionAll, parts)
+
+
+# The conformed tables each dimension is made of.
+DIMENSION_INPUTS = {
+    "dim_bureau": ("bureau", "bureau_balance"),
+    "dim_previous_application": ("previous_application",),
+    "dim_installments_agg": ("installments_payments",),
+    "dim_credit_card_agg": ("credit_card_balance",),
+    "dim_pos_cash_agg": ("POS_CASH_balance",),
+}
 
 
 def gold_dimensions(silver: Mapping[str, DataFrame], reasons: Sequence[str] = ()) -> LazyTables:
@@ -268,50 +279,93 @@ def run_pipeline(
     reasons: Sequence[str] | None = None,
     buckets: int | None = None,
     at_a_time: int = 1,
+    resume: bool = True,
 ) -> dict[str, int]:
     """Landing to star schema in one call; returns the rows written per table. All specs share
     one catalog and schema prefix.
 
     Each layer reads the stored tables of the one before, so a lost executor costs the work of
-    one table at most. With ``buckets`` the applications and dimensions, which are unique on the
-    applicant, are stored bucketed by it, and the fact joins them without an exchange. ``reasons``
-    are the reject codes to count; by default all that occur, found in one pass.
+    one table at most. A lost driver costs the tables in work: the ledger ``gold.run_ledger`` says
+    which tables a run has published from which files and parameters, and with ``resume`` the next
+    call leaves those as they are. After a run that finished, all tables are replaced again.
+
+    With ``buckets`` the applications and dimensions, which are unique on the applicant, are stored
+    bucketed by it, and the fact joins them without an exchange; the fact has Bloom filters of its
+    applicants too. ``reasons`` are the reject codes to count; by default all that occur, found in
+    one pass.
     """
     catalog, prefix = specs[0].catalog, specs[0].schema_prefix
     ensure_schemas(spark, catalog, prefix=prefix)
-    rows = {f"bronze.{t}": n for t, n in ingest_all(spark, specs, fmt, at_a_time, verify=True).items()}
-    bronze = {spec.table: spark.table(spec.target_table) for spec in specs}
+    ledger = RunLedger(spark, f"{catalog}.{prefix}gold.run_ledger", resume)
     per_applicant = (buckets, "SK_ID_CURR") if buckets else None
-
-    def store(job_type, layer: str, name: str, df: DataFrame, rules=(), bucketed: bool = False, staged=None) -> DataFrame:
-        target = f"{catalog}.{prefix}{layer}.{name}"
-        job = job_type(spark, target, lambda: df, rules, fmt, per_applicant if bucketed else None, staged)
-        job.run()
-        rows[f"{layer}.{name}"] = job.rows_written
+    rows: dict[str, int] = {}
+    inputs = {f"bronze.{s.table}": fingerprint(files_fingerprint(spark, s.landing_path), fmt) for s in specs}
+
+    known = {s.table: ledger.published(s.target_table, inputs[f"bronze.{s.table}"]) for s in specs}
+    rows |= {f"bronze.{table}": n for table, n in known.items() if n is not None}
+    left = [spec for spec in specs if known[spec.table] is None]
+    written = ingest_all(
+        spark, left, fmt, at_a_time, verify=True,
+        done=lambda spec, n: ledger.record(spec.target_table, inputs[f"bronze.{spec.table}"], n),
+    )
+    rows |= {f"bronze.{table}": n for table, n in written.items()}
+    bronze = LazyTables({spec.table: partial(spark.table, spec.target_table) for spec in specs})
+
+    def store(
+        job_type, layer: str, name: str, build: Callable[[], DataFrame], reads: Sequence[str], rules=(),
+        bucketed: bool = False, staged=None, lookup: str | None = None,
+    ) -> DataFrame:
+        """The table, stored now unless this run has it. ``reads`` are the tables it is built from."""
+        key, target = f"{layer}.{name}", f"{catalog}.{prefix}{layer}.{name}"
+        dealt = per_applicant if bucketed else None
+        inputs[key] = fingerprint(*(inputs[r] for r in reads), fmt, dealt, *(reasons or () if layer == "gold" else ()))
+        rows[key] = ledger.published(target, inputs[key])
+        if rows[key] is None:
+            job = job_type(spark, target, build, rules, fmt, dealt, staged, lookup)
+            job.run()
+            rows[key] = job.rows_written
+            ledger.record(target, inputs[key], rows[key])
         return spark.table(target)
 
-    def store_all(job_type, layer: str, tables: Mapping[str, DataFrame], rules, bucketed) -> dict[str, DataFrame]:
+    def store_all(job_type, layer: str, tables: Mapping[str, DataFrame], reads, rules, bucketed) -> dict[str, DataFrame]:
         """Store tables that do not depend on each other, ``at_a_time`` of them together."""
 
         def one(name: str) -> tuple[str, DataFrame]:
-            return name, store(job_type, layer, name, tables[name], rules.get(name, ()), name in bucketed)
+            build = partial(tables.__getitem__, name)
+            return name, store(job_type, layer, name, build, reads(name), rules.get(name, ()), name in bucketed)
 
         with ThreadPoolExecutor(max_workers=at_a_time) as pool:
             return dict(pool.map(one, tables))
 
-    silver = store_all(SilverJob, "silver", silver_tables(bronze, rare_duplicates=True), silver_rules(), {"application"})
+    def raw_of(name: str) -> list[str]:
+        return ["bronze.application_train", "bronze.application_test"] if name == "application" else [f"bronze.{name}"]
+
+    silver = store_all(
+        SilverJob, "silver", silver_tables(bronze, rare_duplicates=True), raw_of, silver_rules(), {"application"}
+    )
     if reasons is None:
         reasons = marts.reason_codes(silver["previous_application"])
     dims = gold_dimensions(silver, reasons)
     named = LazyTables({f"dim_{name}": partial(dims.get, name) for name in dims})
-    stored = store_all(GoldJob, "gold", named, {}, set(named))
-    store(SilverJob, "silver", "quality_report", quality_report(silver, bronze))
-    fact = marts.fact_application(silver["application"], {n: stored[f"dim_{n}"] for n in dims})
+    every = [f"silver.{name}" for name in silver]
+    stored = store_all(GoldJob, "gold", named, lambda name: [f"silver.{t}" for t in DIMENSION_INPUTS[name]], {}, set(named))
+    store(SilverJob, "silver", "quality_report", lambda: quality_report(silver, bronze), [*every, *_names("bronze", specs)])
+
+    def fact() -> DataFrame:
+        return marts.fact_application(silver["application"], {n: stored[f"dim_{n}"] for n in dims})
 
     def no_fan_out(staged: DataFrame) -> None:
         preserved = checks.row_preservation(staged, silver["application"], "SK_ID_CURR").first()
         if not preserved["is_preserved"]:
             raise checks.CheckFailed(f"the fact does not have the rows of the applications: {preserved.asDict()}")
 
-    store(GoldJob, "gold", "fact_application", fact, bucketed=True, staged=no_fan_out)
+    store(
+        GoldJob, "gold", "fact_application", fact, ["silver.application", *(f"gold.{name}" for name in named)],
+        bucketed=True, staged=no_fan_out, lookup="SK_ID_CURR",
+    )
+    ledger.finish()
     return rows
+
+
+def _names(layer: str, specs: Sequence[TableSpec]) -> list[str]:
+    return [f"{layer}.{spec.table}" for spec in specs]

@@ -48,21 +48,27 @@ _WHOLE = r"^[+-]?\d+$"
 _NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType | None, lines: bool) -> DataFrame:
-    """``lines``: a quoted field may hold line breaks, so that a file cannot be split among tasks."""
+def scan_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None, lines: bool, corrupt: str | None = None
+) -> DataFrame:
+    """``lines``: a quoted field may hold line breaks, so that a file cannot be split among tasks.
+    ``corrupt`` names the column of the schema that keeps a line that does not fit; without one such
+    a line fails the read."""
     reader = (
         spark.read.option("header", True)
         .option("nullValue", _NO_SUCH_TEXT)
         .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE" if corrupt else "FAILFAST")
         .option("multiLine", lines)
         .option("enforceSchema", False)  # the header of every file must name the columns in order
     )
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
 def _header(spark: SparkSession, path: str, lines: bool) -> list[str]:
-    return _scan(spark, path, None, lines).columns
+    return scan_csv(spark, path, None, lines).columns
 
 
 def infer_types(
@@ -75,7 +81,7 @@ def infer_types(
     that does not fit makes the read fail.
     """
     names = _header(spark, path, lines)
-    text = _scan(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in names]), lines)
+    text = scan_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in names]), lines)
     sample = text if sample_rows is None else text.limit(sample_rows)
 
     def fits(column: str, data_type: str) -> Column:
@@ -122,9 +128,12 @@ def read_csv(
     A value that does not fit its type fails the read, and so does a file whose header has other
     columns or another order. ``lines``: quoted fields may hold line breaks.
     """
-    if schema is None:
-        schema = infer_types(spark, path, lines=lines) if infer else named_types(_header(spark, path, lines))
-    return _scan(spark, path, schema, lines)
+    return scan_csv(spark, path, schema or csv_schema(spark, path, infer, lines), lines)
+
+
+def csv_schema(spark: SparkSession, path: str, infer: bool = False, lines: bool = False) -> T.StructType:
+    """From all values, or from the names in the header."""
+    return infer_types(spark, path, lines=lines) if infer else named_types(_header(spark, path, lines))
 
 
 def csv_to_table(

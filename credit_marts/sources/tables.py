@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -27,7 +28,9 @@ def ensure_schemas(
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Scan of a catalog table by its one-, two- or three-part name."""
+    """Scan of a catalog table by its one-, two- or three-part name, put back first if a publication
+    was cut short."""
+    recover(spark, name)
     return spark.table(name)
 
 
@@ -52,6 +55,7 @@ def write_table(
     buckets: tuple[int, str] | None = None,
     counts: Mapping[str, Column] | None = None,
     check: Check | None = None,
+    lookup: str | None = None,
 ) -> int:
     """Replace table ``name`` (rows and schema) by ``df`` and return the number of rows written.
 
@@ -62,24 +66,31 @@ def write_table(
 
     ``path`` makes the table external. ``buckets`` = (number, column) stores it bucketed and
     sorted by a key that is unique in ``df``, so that later joins on it need no exchange; a key
-    that repeats must not be used, since all its rows would be read by one task.
+    that repeats must not be used, since all its rows would be read by one task. ``lookup`` names a
+    column whose values get Bloom filters in the files, for questions about single values.
+
+    A run that dies before it publishes leaves the old table; one that dies while it does leaves it
+    aside, where ``recover`` finds it, which every write and ``read_table`` call.
     """
     if fmt == "delta" and buckets:
         raise ValueError("a Delta table cannot be bucketed")
     spark, staging = df.sparkSession, f"{name}__staging"
+    recover(spark, name, path)
     seen = Observation()
     dealt = df.repartition(*buckets) if buckets else df  # one file per bucket
     # On top of the plan, hence in the result stage, where Spark counts a retried task once.
     rows = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (counts or {}).items()])
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     try:
-        _save(rows, staging, fmt, None, buckets)
+        _save(rows, staging, fmt, f"{path}__staging" if path else None, buckets, lookup)
         found = seen.get
         if check:
             check(found, spark.table(staging))
-        if path or fmt == "delta":  # an external place keeps its name, Delta replaces atomically
-            _save(spark.table(staging), name, fmt, path, buckets)
+        if fmt == "delta":  # replaces atomically by itself
+            _save(spark.table(staging), name, fmt, path, None, None)
             spark.sql(f"DROP TABLE {staging}")
+        elif path:
+            _publish_folder(spark, staging, name, fmt, path, buckets)
         else:
             _publish(spark, staging, name)
     except BaseException:
@@ -88,10 +99,14 @@ def write_table(
     return int(found["rows"])
 
 
-def _save(df: DataFrame, name: str, fmt: str, path: str | None, buckets: tuple[int, str] | None) -> None:
+def _save(
+    df: DataFrame, name: str, fmt: str, path: str | None, buckets: tuple[int, str] | None, lookup: str | None
+) -> None:
     writer = df.write.format(fmt).mode("overwrite")
     if buckets:
         writer = writer.bucketBy(*buckets).sortBy(buckets[1])
+    if lookup:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if path:
@@ -99,23 +114,113 @@ def _save(df: DataFrame, name: str, fmt: str, path: str | None, buckets: tuple[i
     writer.saveAsTable(name)
 
 
+def _bare(name: str) -> str:
+    """A table's name as RENAME wants its target: without the catalog."""
+    return name.partition(".")[2] if name.count(".") == 2 else name
+
+
+def recover(spark: SparkSession, name: str, path: str | None = None) -> bool:
+    """Put a table back that a run set aside and then died before it published the next one.
+
+    Between the two renames of a publication the old rows exist under ``<name>__replaced`` only.
+    Returns whether there was something to put back. A table that is published and still has its
+    predecessor beside it keeps the new rows; the next publication drops the old ones.
+    """
+    if path:
+        whole, aside = _folders(spark, path, f"{path}__replaced")
+        if whole.exists() or not aside.exists():
+            return False
+        aside.rename(whole)
+        if spark.catalog.tableExists(name):
+            spark.catalog.refreshTable(name)
+        return True
+    aside = f"{name}__replaced"
+    if spark.catalog.tableExists(name) or not spark.catalog.tableExists(aside):
+        return False
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {_bare(name)}")
+    return True
+
+
 def _publish(spark: SparkSession, staging: str, name: str) -> None:
-    """Give the staged table its name. The table it replaces is set aside, and put back if that fails."""
+    """Give the staged table its name. The table it replaces is set aside first, and put back if that
+    fails, here or, when the driver dies in between, by ``recover``."""
     aside = f"{name}__replaced"
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
     replaces = spark.catalog.tableExists(name)
     if replaces:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {aside.partition('.')[2] if name.count('.') == 2 else aside}")
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {_bare(aside)}")
     try:
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name.partition('.')[2] if name.count('.') == 2 else name}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {_bare(name)}")
     except BaseException:
-        if replaces:
-            spark.sql(f"ALTER TABLE {aside} RENAME TO {name.partition('.')[2] if name.count('.') == 2 else name}")
+        recover(spark, name)
         raise
     spark.catalog.refreshTable(name)
     spark.sql(f"DROP TABLE IF EXISTS {aside}")
 
 
+def _publish_folder(
+    spark: SparkSession, staging: str, name: str, fmt: str, path: str, buckets: tuple[int, str] | None
+) -> None:
+    """As ``_publish`` for a table at a place of its own. Rows are written once."""
+    schema = spark.table(staging).schema
+    spark.sql(f"DROP TABLE {staging}")  # external: the files stay
+    publish_folder(spark, f"{path}__staging", name, fmt, path, schema, buckets)
+
+
+def publish_folder(
+    spark: SparkSession,
+    staged_path: str,
+    name: str,
+    fmt: str,
+    path: str,
+    schema: T.StructType,
+    buckets: tuple[int, str] | None = None,
+) -> None:
+    """A staged folder takes the place of a table, which is declared anew, as its columns may have
+    changed. The folder it replaces is set aside until then."""
+    staged, whole, aside = _folders(spark, staged_path, path, f"{path}__replaced")
+    if not staged.exists():  # of a table without rows
+        staged.create()
+    if whole.exists():
+        aside.delete()
+        whole.rename(aside)
+    try:
+        staged.rename(whole)
+    except BaseException:
+        recover(spark, name, path)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    dealt = f"CLUSTERED BY ({buckets[1]}) SORTED BY ({buckets[1]}) INTO {buckets[0]} BUCKETS" if buckets else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} {dealt} LOCATION '{path}'")
+    aside.delete()
+
+
+class _Folder:
+    """A folder of any file system Spark can write to."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.system = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.system.exists(self.path)
+
+    def create(self) -> None:
+        self.system.mkdirs(self.path)
+
+    def delete(self) -> None:
+        self.system.delete(self.path, True)
+
+    def rename(self, to: _Folder) -> None:
+        if not self.system.rename(self.path, to.path):
+            raise OSError(f"cannot rename {self.path} to {to.path}")
+
+
+def _folders(spark: SparkSession, *paths: str) -> list[_Folder]:
+    return [_Folder(spark, path) for path in paths]
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder for the tables of one run, below the shared one named in ``spark.checkpoint.dir``.
     It is removed when the application ends, as the tables returned to a caller may read it.

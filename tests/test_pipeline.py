@@ -1,7 +1,7 @@
 """All layers, stored."""
 
 import pytest
-from conftest import by, one
+from conftest import by, one, plan_of
 from pyspark.sql import functions as F
 
 from credit_marts import run_pipeline
@@ -152,3 +152,95 @@ def test_lazy_tables_are_built_once(spark):
     assert built == [] and len(tables) == 2 and list(tables) == ["a", "b"]
     assert tables["a"] is tables["a"] and built == [1]
     assert one(tables["b"].selectExpr("count(*) AS n")) == {"n": 1}
+
+
+class Stopped(BaseException):
+    """The driver dies."""
+
+
+def test_a_run_that_was_stopped_goes_on(spark, mini, monkeypatch):
+    from credit_marts.plans import jobs
+
+    root = work_dir(spark)
+    for name, df in mini.items():
+        land(df, root, name)
+    ensure_schemas(spark, prefix="stopped_", location=root)
+    specs, done, alive = table_specs(root, schema_prefix="stopped_"), [], [True]
+    whole = jobs.LayerJob.run
+
+    def run(self):
+        if alive[0] and "dim_credit_card_agg" in self.target:
+            raise Stopped
+        done.append(self.target.removeprefix("spark_catalog.stopped_"))
+        return whole(self)
+
+    monkeypatch.setattr(jobs.LayerJob, "run", run)
+    with pytest.raises(Stopped):
+        run_pipeline(spark, specs, reasons=["HC"])
+    assert len(done) == 8 + 7 + 4 and "gold.dim_pos_cash_agg" in done  # tables of one layer do not wait for each other
+    alive[0] = False
+    done.clear()
+    rows = run_pipeline(spark, specs, reasons=["HC"])
+    assert done == ["gold.dim_credit_card_agg", "silver.quality_report", "gold.fact_application"]
+    assert rows["bronze.bureau"] == 6 and rows["gold.fact_application"] == 5 and len(rows) == 22
+    # A run that finished is followed by a whole one, and so is one whose files or parameters changed.
+    done.clear()
+    alive[0] = True
+    with pytest.raises(Stopped):
+        run_pipeline(spark, specs, reasons=["HC"])
+    assert len(done) == 19
+    land(mini["bureau"].where("SK_ID_BUREAU < 14"), root, "bureau")
+    alive[0] = False
+    done.clear()
+    rows = run_pipeline(spark, specs, reasons=["HC", "XAP"])
+    assert done[:3] == ["bronze.bureau", "silver.bureau", "gold.dim_bureau"] and rows["bronze.bureau"] == 3
+    assert "silver.application" not in done and "gold.dim_pos_cash_agg" in done
+    ledger = spark.table("spark_catalog.stopped_gold.run_ledger")
+    assert ledger.select("run_id").distinct().count() == 1 and ledger.count() >= 23
+
+
+def test_a_publication_that_was_cut_short_is_put_back(spark, monkeypatch):
+    from credit_marts.sources import read_table, recover, write_table
+
+    root = work_dir(spark)
+    ensure_schemas(spark, prefix="cut_", location=root)
+    name = "spark_catalog.cut_gold.t"
+    write_table(spark.range(3), name)
+    real = type(spark).sql
+
+    def dies(self, text, *args, **kwargs):
+        if "__staging RENAME" in text:
+            raise Stopped
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", dies)
+    monkeypatch.setattr("credit_marts.sources.tables.recover", lambda *a: None)  # nobody is left to do it
+    with pytest.raises(Stopped):
+        write_table(spark.range(5), name)
+    monkeypatch.undo()
+    assert not spark.catalog.tableExists(name)
+    assert read_table(spark, name).count() == 3 and not recover(spark, name)
+    assert write_table(spark.range(7), name) == 7 and read_table(spark, name).count() == 7
+    found = {r["tableName"] for r in spark.sql("SHOW TABLES IN spark_catalog.cut_gold").collect()}
+    assert found == {"t"}
+
+
+def test_an_external_place_is_written_once_and_put_back(spark, monkeypatch, tmp_path):
+    from credit_marts.sources import recover, tables, write_table
+
+    ensure_schemas(spark)
+    name, path = "spark_catalog.gold.placed", str(tmp_path / "placed")
+    write_table(spark.range(4), name, path=path, buckets=(2, "id"))
+    saved, whole = [], tables._save
+    monkeypatch.setattr(tables, "_save", lambda *a: (saved.append(a[1]), whole(*a)))
+    wider = spark.range(6).withColumn("more", F.lit("x"))
+    assert write_table(wider, name, path=path, buckets=(2, "id"), lookup="id") == 6
+    assert saved == [f"{name}__staging"] and spark.table(name).columns == ["id", "more"]
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # the plan then names the buckets
+    try:
+        assert "SelectedBucketsCount: 1 out of 2" in plan_of(spark.table(name).where("id = 3"))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    (tmp_path / "placed").rename(tmp_path / "placed__replaced")
+    assert recover(spark, name, path) and spark.table(name).count() == 6
+    spark.sql(f"DROP TABLE {name}")

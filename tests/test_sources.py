@@ -177,3 +177,29 @@ def test_land_all_reads_each_table_and_lands_it(spark, tmp_path, monkeypatch):
         ("jdbc:x", "bureau", None, {"fetch_rows": 5}), ("jdbc:x", "POS_CASH_balance", split, {"fetch_rows": 5}),
     ]
     assert spark.read.parquet(str(tmp_path / "POS_CASH_balance")).count() == 2
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path):
+    from credit_marts.operators import checks
+    from credit_marts.sources.quarantine import LINE, REASON, SOURCE, read_quarantined_csv, write_quarantined
+
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("SK_ID_CURR,SK_ID_BUREAU,CREDIT_DAY_OVERDUE,CREDIT_TYPE\n1,10,0,a\n2,x,0,b\n3,12,-5,c\n")
+    (folder / "b.csv").write_text("SK_ID_CURR,SK_ID_BUREAU,CREDIT_DAY_OVERDUE,CREDIT_TYPE\n4,13,1,d\n,14,9,e\n6,15\n")
+    ensure_schemas(spark)
+    rules = [checks.not_null("SK_ID_CURR"), checks.in_range("CREDIT_DAY_OVERDUE", low=0)]
+    frame = read_quarantined_csv(spark, str(folder))
+    name, path = "spark_catalog.silver.parted", str(tmp_path / "parted")
+    assert write_quarantined(frame, name, path, rules=rules) == (2, 4)
+    assert sorted(r["SK_ID_CURR"] for r in spark.table(name).collect()) == [1, 4]
+    assert not {REASON, SOURCE, LINE} & set(spark.table(name).columns)
+    rejected = {r[REASON]: r for r in spark.table(f"{name}__rejected").collect() if r[REASON] != "malformed line"}
+    assert set(rejected) == {"in_range(CREDIT_DAY_OVERDUE, 0..)", "not_null(SK_ID_CURR)"}
+    broken = {r[LINE]: r[SOURCE] for r in spark.table(f"{name}__rejected").collect() if r[LINE]}
+    assert {line: source[-5:] for line, source in broken.items()} == {"2,x,0,b": "a.csv", "6,15": "b.csv"}
+    # A clean delivery empties the rejects.
+    assert write_quarantined(frame.where("SK_ID_CURR = 1"), name, path, rules=rules) == (1, 0)
+    assert spark.table(name).count() == 1 and spark.table(f"{name}__rejected").count() == 0
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        read_csv(spark, str(folder)).collect()

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from credit_marts.functions import age_years
 from credit_marts.operators import checks, conform, marts, profile, reports
-from credit_marts.sources import TableSpec, csv_to_table, ensure_schemas, land, read_csv, work_dir
+from credit_marts.sources import TableSpec, csv_to_table, ensure_schemas, footer_table, land, read_csv, work_dir
+from credit_marts.sources.quarantine import write_quarantined
 from credit_marts.plans import BronzeJob
 from workloads import sql
 from workloads.credit_profiles import rounded_averages
@@ -32,6 +33,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def footers(self, name: str) -> DataFrame:
+        """A table whose counts and bounds may come from file footers."""
+        return footer_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+
     @property
     def labelled(self) -> DataFrame:
         """Documents with their labels, NULL where there are none."""
@@ -208,6 +213,31 @@ PROFILE: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
         "(SELECT 1 FROM supplier WHERE s_suppkey = user_id) AND NOT EXISTS "
         "(SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey = user_id)",
     ),
+    "orphan_rows_by_bloom": (
+        lambda t: profile.orphans_by_bloom(
+            t.events.select("event_id", F.nullif("user_id", F.lit(3)).alias("user_id")),
+            "user_id",
+            [profile.Parent(t.supplier, "s_suppkey"), profile.Parent(_building(t), "c_custkey")],
+        ),
+        "SELECT * FROM (SELECT event_id, nullif(user_id, 3) AS user_id FROM events) e WHERE NOT EXISTS "
+        "(SELECT 1 FROM supplier WHERE s_suppkey = user_id) AND NOT EXISTS "
+        "(SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey = user_id)",
+    ),
+    "row_count_footers": (
+        lambda t: profile.row_count(t.footers("lineitem")), "SELECT count(*) AS row_count FROM lineitem"
+    ),
+    "range_stats_footers": (
+        lambda t: profile.range_stats(
+            t.footers("lineitem"),
+            [profile.Measure(m.alias, m.value, ("min", "max")) for m in _measures()],
+        ),
+        "SELECT "
+        + ", ".join(
+            sql.stats(name, column, ("min", "max"))
+            for name, column in (("quantity", "l_quantity"), ("price", "l_extendedprice"), ("discount", "l_discount"))
+        )
+        + " FROM lineitem",
+    ),
     "missing_event_profile": (
         lambda t: profile.missing_event_profile(t.order_lines, "l_extendedprice", "l_shipdate"),
         "SELECT count(*) AS total_rows, count(*) - count(l_extendedprice) AS missed_payment_count, "
@@ -784,9 +814,30 @@ def _csv_roundtrip(t: Tables) -> DataFrame:
     return t.spark.table("spark_catalog.csv_bronze.orders")
 
 
+def _quarantine(t: Tables) -> DataFrame:
+    """Lines divided into sound and rejected ones in one pass, read back with their reasons."""
+    root = work_dir(t.spark)
+    ensure_schemas(t.spark, layers=["silver"], prefix="parted_", location=root)
+    price = F.when(F.col("l_linenumber") == 3, F.col("l_extendedprice")).otherwise(F.floor("l_extendedprice"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", price.cast("double").alias("price"))
+    rules = [checks.in_set("l_returnflag", ("A", "N")), checks.in_range("l_quantity", high=45)]
+    name = "spark_catalog.parted_silver.lines"
+    write_quarantined(lines, name, f"{root}/lines", {"price": "int"}, rules)
+    kept = t.spark.table(name).withColumn("reject_reason", F.lit(None).cast("string"))
+    return kept.unionByName(t.spark.table(f"{name}__rejected"))
+
+
 SOURCES: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
     "ingest_roundtrip": (_ingest_roundtrip, "SELECT * FROM orders"),
     "csv_roundtrip": (_csv_roundtrip, _CSV_SQL.format(closed="CAST(o_orderstatus = 'F' AS VARCHAR)")),
+    "quarantine_lines": (
+        _quarantine,
+        "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, CASE WHEN l_linenumber <> 3 OR l_extendedprice = "
+        "floor(l_extendedprice) THEN CAST(floor(l_extendedprice) AS INTEGER) END AS price, nullif(concat_ws('; ', "
+        "CASE WHEN l_linenumber = 3 AND l_extendedprice <> floor(l_extendedprice) THEN 'cast(price)' END, "
+        "CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'in_set(l_returnflag)' END, "
+        "CASE WHEN l_quantity > 45 THEN 'in_range(l_quantity, ..45)' END), '') AS reject_reason FROM lineitem",
+    ),
     "csv_inferred_types": (
         lambda t: read_csv(t.spark, _as_csv(t), infer=True), _CSV_SQL.format(closed="o_orderstatus = 'F'"),
     ),
