@@ -31,7 +31,9 @@ def in_order(columns, rows):
 
 def test_every_query_has_a_counterpart():
     assert set(ORACLES) <= set(QUERIES)
-    assert {q for q in QUERIES if q not in ORACLES} <= {q for q in QUERIES if q.startswith("op") or q == "pipeline"}
+    # Beyond SQL: trained models, tokenizers, curves and probabilities; their own tests use brute force.
+    beyond = {f"op{n}" for n in (1, 2, 3, 4, 5, 6, 7, 9, 10, 13)} | {"pipeline"}
+    assert {q.partition("_")[0] for q in QUERIES if q not in ORACLES} <= beyond
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
