@@ -29,10 +29,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 80 of 100 five-word shingles: the one with the smallest
-    id. Documents with a null id are all kept."""
-    groups = minhash.near_duplicates(docs, size=5, percent=80)
-    gone = groups.where("NOT kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    id. Rows are compared and dropped each for itself, whatever ids they share. Documents with a null
+    id are all kept."""
+    named = docs.where("doc_id IS NOT NULL").withColumn("row", F.monotonically_increasing_id())
+    rows = Steps(spark).store(named.select("row", F.struct(*docs.columns).alias("doc")), codec="zstd")
+    texts = rows.select("row", F.col("doc.text").alias("text"))
+    groups = minhash.near_duplicates(texts, size=5, percent=80, id_col="row").select("id", "component_id")
+    ids = rows.select(F.col("row").alias("id"), F.col("doc.doc_id").alias("doc_id"))
+    first = F.min(F.struct("doc_id", F.col("id").alias("row"))).alias("first")
+    kept = groups.join(ids, "id").groupBy("component_id").agg(first).select("first.row")
+    return rows.join(kept, "row", "left_semi").select("doc.*").unionAll(docs.where("doc_id IS NULL"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
