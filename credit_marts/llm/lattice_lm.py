@@ -28,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ TOLERANCE, MOST_ROUNDS = 0.001, 20
 HOT = 100_000  # words that all tasks hold, at most
 HOT_CHARS = 64  # of such a word
 MOST_KEPT = 300_000  # distinct words a task adds up before it sends them
-LATTICE_CHARS = 200_000  # characters of words whose lattices are built at a time
+LATTICE_CHARS = 30_000  # characters of words whose lattices are built at a time
 
 MARK, END = "▁", "\n"  # before a word; the end sign among words, which no word can be
 _LOWER = bytes(byte + 32 if 0x41 <= byte <= 0x5A else byte for byte in range(256))
@@ -55,6 +56,45 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass"))
 
 
+class Steps64:
+    """Numbers by key in a few hash tables: a key lies in the first one whose slot was free for it, so
+    looking up many keys takes two array reads for most of them."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.tables: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
+        odd = 0x9E3779B97F4A7C15
+        while len(keys):
+            slots = self._slots(keys, np.uint64(odd))
+            _, first = np.unique(slots, return_index=True)
+            own = np.full(1 << self.bits, -1, dtype=np.int64), np.zeros(1 << self.bits, dtype=np.int64)
+            own[0][slots[first]], own[1][slots[first]] = keys[first], values[first]
+            self.tables.append((np.uint64(odd), *own))
+            keys, values = np.delete(keys, first), np.delete(values, first)
+            odd = (odd * 0xBF58476D1CE4E5B9 | 1) & (1 << 64) - 1
+
+    def _slots(self, keys: np.ndarray, odd: np.uint64) -> np.ndarray:
+        return (keys.view(np.uint64) * odd >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The number of every key, -1 where there is none."""
+        out, left = np.full(len(keys), -1, dtype=np.int64), None
+        for odd, own, values in self.tables:
+            wanted = keys if left is None else keys[left]
+            slots = self._slots(wanted, odd)
+            held = own[slots]
+            good = held == wanted
+            if left is None:
+                out[good] = values[slots[good]]
+                left = np.flatnonzero(~good & (held >= 0))  # a free slot: no table has the key
+            else:
+                out[left[good]] = values[slots[good]]
+                left = left[~good & (held >= 0)]
+            if not len(left):
+                break
+        return out
+
+
 @dataclass
 class Vocabulary:
     """Pieces as a trie in arrays, the bytes' numbers, and the share each piece has by its own score.
@@ -78,9 +118,7 @@ class Vocabulary:
             if piece:
                 ends[node] = at
         self.width = width
-        order = sorted(nodes)
-        self.steps = np.array([*order, np.iinfo(np.int64).max], dtype=np.int64)
-        self.next = np.array([*(nodes[k] for k in order), 0], dtype=np.int64)
+        self.steps = Steps64(np.array(list(nodes), dtype=np.int64), np.array(list(nodes.values()), dtype=np.int64))
         self.piece = np.full(len(nodes) + 1, -1, dtype=np.int64)
         for node, at in ends.items():
             self.piece[node] = at
@@ -132,10 +170,9 @@ class Lattice:
         at, node = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
         depth = 0
         while len(at):
-            key = node * vocabulary.width + letter[at + depth]
-            found = np.searchsorted(vocabulary.steps, key)
-            good = vocabulary.steps[found] == key
-            at, node = at[good], vocabulary.next[found[good]]
+            node = vocabulary.steps(node * vocabulary.width + letter[at + depth])
+            good = node >= 0
+            at, node = at[good], node[good]
             depth += 1
             piece = vocabulary.piece[node]
             whole = piece >= 0
@@ -154,56 +191,45 @@ class Lattice:
         self.starts, self.ends = np.concatenate(starts), np.concatenate(ends)
         self.pieces = np.concatenate(pieces)
         self.spelled, self.spelled_sizes = spelled, np.array([len(s) for s in spelled], dtype=np.int64)
-        self.odd = np.arange(plain, plain + len(odd))
+        own_place = np.repeat(np.arange(len(words)), sizes + 1)
         place = np.arange(len(codes) + len(words)) - np.repeat(base, sizes + 1)  # from the begin of the word
         self.first, self.last = base, base + sizes
         self.places = len(place)
-        self.by_end = self._layers(self.ends, place[self.ends])
-        self.by_start = None
-        self._place, self._sizes = place, np.repeat(sizes, sizes + 1)
-
-    @staticmethod
-    def _layers(places: np.ndarray, layer: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Arcs by layer, in the order of their places, with the begins of equal places."""
-        order = np.lexsort((places, layer))
-        cuts = np.flatnonzero(np.diff(layer[order], prepend=-1))
-        layers = []
-        for arcs in np.split(order, cuts[1:]) if len(order) else []:
-            layers.append((arcs, np.flatnonzero(np.diff(places[arcs], prepend=-1))))
-        return layers
+        # Arcs by how far from the word's begin they end, and by the place where they do.
+        layer = place[self.ends]
+        key = layer * self.places + self.ends
+        order = np.argsort(key)
+        key, layer = key[order], layer[order]
+        new = np.flatnonzero(np.diff(key, prepend=-1))  # arcs to one place stand together
+        cuts = np.flatnonzero(np.diff(layer, prepend=-1))
+        stops, runs = [*cuts[1:], len(order)], np.searchsorted(new, [*cuts, len(order)])
+        self.order = order
+        self.layers = [
+            (slice(a, b), new[i:j] - a) for a, b, i, j in zip(cuts, stops, runs, runs[1:], strict=False)
+        ]
+        self.starts, self.ends, self.pieces = self.starts[order], self.ends[order], self.pieces[order]
+        self.odd = np.flatnonzero(self.pieces < 0)
+        self.bytes_of = order[self.odd] - plain  # which of the spelled characters
+        self.word = own_place[self.starts]
 
     def weights(self, logs: np.ndarray) -> np.ndarray:
         """The log weight of every arc."""
         out = logs[np.maximum(self.pieces, 0)]
         if len(self.odd):
-            every = np.concatenate(self.spelled)
             begins = np.cumsum(self.spelled_sizes) - self.spelled_sizes
-            out[self.odd] = np.add.reduceat(logs[every], begins)
+            out[self.odd] = np.add.reduceat(logs[np.concatenate(self.spelled)], begins)[self.bytes_of]
         return out
 
-    @staticmethod
-    def _sums(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """Logs of sums of exponentials of runs."""
-        most = np.maximum.reduceat(values, begins)
-        sizes = np.diff(np.append(begins, len(values)))
-        return most + np.log(np.add.reduceat(np.exp(values - np.repeat(most, sizes)), begins))
-
     def forward(self, weights: np.ndarray) -> np.ndarray:
         """Logs of the weight of all ways from a word's begin to each place."""
         sums = np.full(self.places, -np.inf)
         sums[self.first] = 0.0
-        for arcs, begins in self.by_end:
-            sums[self.ends[arcs[begins]]] = self._sums(sums[self.starts[arcs]] + weights[arcs], begins)
-        return sums
-
-    def backward(self, weights: np.ndarray) -> np.ndarray:
-        """Logs of the weight of all ways from each place to the word's end."""
-        if self.by_start is None:
-            self.by_start = self._layers(self.starts, (self._sizes - self._place)[self.starts])
-        sums = np.full(self.places, -np.inf)
-        sums[self.last] = 0.0
-        for arcs, begins in self.by_start:
-            sums[self.starts[arcs[begins]]] = self._sums(sums[self.ends[arcs]] + weights[arcs], begins)
+        for arcs, begins in self.layers:
+            values = sums[self.starts[arcs]] + weights[arcs]
+            most = np.maximum.reduceat(values, begins)
+            sizes = np.diff(np.append(begins, len(values)))
+            total = np.add.reduceat(np.exp(values - np.repeat(most, sizes)), begins)
+            sums[self.ends[arcs][begins]] = most + np.log(total)
         return sums
 
     def logs(self, logs: np.ndarray) -> np.ndarray:
@@ -211,17 +237,26 @@ class Lattice:
         return self.forward(self.weights(logs))[self.last]
 
     def uses(self, logs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, float]:
-        """How often each piece is expected in ``times`` of every word, and the log likelihood."""
+        """How often each piece is expected in ``times`` of every word, and the log likelihood.
+
+        From the end of every word back, a place hands what passes through it to the arcs that lead
+        there, in proportion to their part of its sum.
+        """
         weights = self.weights(logs)
-        before, after = self.forward(weights), self.backward(weights)
-        whole = before[self.last]
-        word = np.searchsorted(self.first, self.starts, side="right") - 1
-        share = np.exp(before[self.starts] + weights + after[self.ends] - whole[word]) * times[word]
+        sums = self.forward(weights)
+        share = np.exp(sums[self.starts] + weights - sums[self.ends])
+        passing = np.zeros(self.places)
+        passing[self.last] = times
+        for arcs, _ in reversed(self.layers):
+            share[arcs] *= passing[self.ends[arcs]]
+            np.add.at(passing, self.starts[arcs], share[arcs])
         plain = self.pieces >= 0
         out = np.bincount(self.pieces[plain], share[plain], len(logs))
         if len(self.odd):
-            out += np.bincount(np.concatenate(self.spelled), np.repeat(share[self.odd], self.spelled_sizes), len(logs))
-        return out, float(whole @ times)
+            spelled = [self.spelled[i] for i in self.bytes_of.tolist()]
+            sizes = self.spelled_sizes[self.bytes_of]
+            out += np.bincount(np.concatenate(spelled), np.repeat(share[self.odd], sizes), len(logs))
+        return out, float(sums[self.last] @ times)
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -235,26 +270,26 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    every: Counter = Counter()
-    learned: Counter = Counter()
+    sums: dict[bool, Counter] = {True: Counter(), False: Counter()}  # of held-out and of training texts
 
     def sent() -> pa.RecordBatch:
-        words = list(every)
-        n = [pa.array([of[w] for w in words], pa.int64()) for of in (every, learned)]
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *n], ["word", "n", "learned"])
+        held, learned = sums[True], sums[False]
+        words = [*learned, *(w for w in held if w not in learned)]
+        n = [learned[w] + held[w] for w in words], [learned[w] for w in words]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words, pa.string()), *(pa.array(own, pa.int64()) for own in n)], ["word", "n", "learned"]
+        )
 
     for batch in found:
         for part in slices(batch):
             for held, text in zip(part["held_out"].to_pylist(), part["text"].to_pylist(), strict=True):
-                words = words_of(text)
-                words.append(END)
-                every.update(words)
-                if not held:
-                    learned.update(words)
-            if len(every) > MOST_KEPT:
+                own = sums[held]
+                own.update(words_of(text))
+                own[END] += 1
+            if sum(map(len, sums.values())) > MOST_KEPT:
                 yield sent()
-                every.clear()
-                learned.clear()
+                for own in sums.values():
+                    own.clear()
     yield sent()
 
 
@@ -335,25 +370,18 @@ def _looked_up(hot: dict[str, tuple[int, float]], base_of):
     """Sums over a text's hot words, and its other words with their numbers."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {word: (c > 0, base_of(c), log) for word, (c, log) in hot.value.items()}
+        place = {word: i for i, word in enumerate(hot.value)}
+        # Place -1, the last one, is that of all other words and adds nothing.
+        values = np.array([(c > 0, base_of(c), log) for c, log in hot.value.values()] + [(0.0, 0.0, 0.0)]).T.copy()
         for batch in found:
             for part in slices(batch):
                 sums, rest = [], []
                 for text in part["text"].to_pylist():
                     words = words_of(text)
                     words.append(END)
-                    counts = Counter(words)
-                    known, base, score, others = 0, [], [], []
-                    for word, times in counts.items():
-                        own = table.get(word)
-                        if own is None:
-                            others.append((word, times))
-                        else:
-                            known += times if own[0] else 0
-                            base.append(times * own[1])
-                            score.append(times * own[2])
-                    sums.append((len(words), known, math.fsum(base), math.fsum(score)))
-                    rest.append(others)
+                    at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
+                    sums.append((len(words), *values[:, at].sum(axis=1).tolist()))
+                    rest.append(list(Counter(compress(words, at < 0)).items()))
                 tokens, known, base, score = zip(*sums, strict=True)
                 ends = np.cumsum([0, *map(len, rest)])
                 listed = pa.StructArray.from_arrays(
@@ -361,7 +389,7 @@ def _looked_up(hot: dict[str, tuple[int, float]], base_of):
                     ["word", "times"],
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part["row"], part["id"], part["held_out"], pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
+                    [part["row"], part["id"], part["held_out"], pa.array(tokens, pa.int64()), pa.array(np.array(known).astype(np.int64)),
                      pa.array(base, pa.float64()), pa.array(score, pa.float64()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed)],
                     ["row", "id", "held_out", "n_tokens", "known", "base", "score", "rest"],
