@@ -52,6 +52,37 @@ def key_profile(df: DataFrame, keys: Sequence[str], lead: str | None = None) ->
     )
 
 
+def key_profiles(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Rows, distinct keys and surplus rows of several natural keys, as (key_columns, row_count,
+    distinct_count, duplicate_count), with one scan and one exchange for all of them.
+
+    The keys are grouping sets of one aggregate: a row goes out once per set, tagged with it, and is
+    combined with its like inside the task, so what is exchanged is one row per key and task, as for
+    every key alone. A key with a NULL part is not distinct.
+    """
+    columns = list(dict.fromkeys(c for keys in key_sets for c in keys))
+    last = len(columns) - 1
+    tags = {sum(1 << (last - i) for i, c in enumerate(columns) if c not in keys): keys for keys in key_sets}
+    groups = df.groupingSets([list(keys) for keys in tags.values()], *columns).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows")
+    )
+    complete = reduce(
+        lambda rest, own: F.when(
+            F.col("_set") == own[0], reduce(Column.__and__, [F.col(c).isNotNull() for c in own[1]])
+        ).otherwise(rest),
+        tags.items(),
+        F.lit(False),
+    )
+    found = groups.groupBy("_set").agg(F.sum("_rows").alias("rows"), F.count_if(complete).alias("keys"))
+    named = df.sparkSession.createDataFrame(
+        [(tag, ",".join(keys)) for tag, keys in tags.items()], "_set bigint, key_columns string"
+    )
+    rows, distinct = F.coalesce("rows", F.lit(0)), F.coalesce("keys", F.lit(0))
+    return named.join(found, "_set", "left").select(
+        "key_columns", rows.alias("row_count"), distinct.alias("distinct_count"), (rows - distinct).alias("duplicate_count")
+    )
+
+
 def null_rate_aggregates(columns: Sequence[str]) -> list[Column]:
     """Share of NULLs per column in percent; NULL over no rows."""
     total = F.count(F.lit(1))

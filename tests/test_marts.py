@@ -136,3 +136,58 @@ def test_hot_applicant_against_plain_counting(spark):
         assert found[key]["instalment_late_count"] == sum(r[2] > r[1] for r in mine)
         assert found[key]["instalment_delay_max"] == max(r[2] - r[1] for r in mine)
         assert found[key]["instalment_underpaid_share"] == sum(r[4] < r[3] for r in mine) / len(mine)
+
+
+def test_only_changed_parts_of_a_fact_are_written(spark, tmp_path):
+    from credit_marts.plans.refresh import PART, refresh_fact
+    from credit_marts.sources import ensure_schemas
+
+    ensure_schemas(spark, layers=("gold",), prefix="part_", location=str(tmp_path))
+    name = "spark_catalog.part_gold.fact"
+    people = spark.range(200).select(F.col("id").alias("SK_ID_CURR"), (F.col("id") * 2).alias("AMT"))
+    cards = people.where("SK_ID_CURR % 3 = 0").select("SK_ID_CURR", F.lit(1).cast("bigint").alias("card_count"))
+
+    def build(tables):
+        return marts.fact_application(tables["people"], {"card": tables["card"]})
+
+    def same(people, cards):
+        kept = spark.table(name).drop(PART)
+        whole = build({"people": people, "card": cards}).select(*kept.columns)
+        assert kept.exceptAll(whole).count() == whole.exceptAll(kept).count() == 0
+
+    assert len(refresh_fact(spark, name, {"people": people, "card": cards}, build, parts=16)) == 16
+    same(people, cards)
+    files = {f for f in spark.table(name).inputFiles()}
+    assert refresh_fact(spark, name, {"people": people, "card": cards}, build, parts=16) == []
+    other = cards.withColumn("card_count", F.when(F.col("SK_ID_CURR") == 9, 5).otherwise(F.col("card_count")))
+    assert len(refresh_fact(spark, name, {"people": people, "card": other}, build, parts=16)) == 1
+    same(people, other)
+    assert len(files - set(spark.table(name).inputFiles())) <= len(files) // 8  # the rest is as it was
+    # A part that loses all its applicants is dropped; new applicants and columns come in.
+    part = spark.table(name).where("SK_ID_CURR = 9").first()[PART]
+    kept_ids = [r["SK_ID_CURR"] for r in spark.table(name).where(F.col(PART) != part).collect()]
+    fewer = people.where(F.col("SK_ID_CURR").isin(kept_ids))
+    assert refresh_fact(spark, name, {"people": fewer, "card": other}, build, parts=16) == [part]
+    same(fewer, other)
+    more = people.unionAll(spark.createDataFrame([(1000, 1), (None, 2)], "SK_ID_CURR bigint, AMT bigint"))
+    refresh_fact(spark, name, {"people": more, "card": other}, build, parts=16)
+    same(more, other)
+    wider = more.withColumn("NEW", F.lit("x"))
+    assert len(refresh_fact(spark, name, {"people": wider, "card": other}, build, parts=16)) == 16
+    same(wider, other)
+
+
+def test_key_profiles_share_an_exchange(spark):
+    from conftest import plan_of
+
+    from credit_marts.operators import profile
+
+    rows = spark.createDataFrame([(1, 1, None), (1, 2, "a"), (None, 2, "a"), (1, 1, "b"), (None, None, None)], "a int, b int, c string")
+    sets = [("a",), ("a", "b"), ("c", "b")]
+    found = {r["key_columns"]: tuple(r)[1:] for r in profile.key_profiles(rows, sets).collect()}
+    assert found == {"a": (5, 1, 4), "a,b": (5, 2, 3), "c,b": (5, 2, 3)}
+    single = profile.key_profile(rows, ["a", "b"]).first()
+    assert found["a,b"] == (single["row_count"], single["distinct_key_combo"], single["duplicate_key_combo"])
+    assert {tuple(r)[1:] for r in profile.key_profiles(rows.limit(0), sets).collect()} == {(0, 0, 0)}
+    alone = sum(plan_of(profile.key_profile(rows, list(k))).count("Exchange hashpartitioning") for k in sets)
+    assert plan_of(profile.key_profiles(rows, sets)).count("Exchange hashpartitioning") < alone

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from credit_marts.operators import checks, marts, reports
 from credit_marts.plans import pipeline
 from credit_marts.plans.lazy import LazyTables
+from credit_marts.plans.refresh import PART, refresh_fact
 from credit_marts.sources import ensure_schemas, files_fingerprint, land, table_specs, work_dir, write_table
 from workloads import credit_view
 from workloads.credit_view import CreditTables, with_credit_tables
@@ -83,6 +84,26 @@ def _kept_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact stored while a twentieth of the applicants had other cards, then refreshed by parts."""
+    silver, root = _silver(spark, sf_dir), work_dir(spark)
+    dims = pipeline.gold_dimensions(silver, REASONS)
+    lazy = LazyTables({**{n: partial(dims.__getitem__, n) for n in dims}, "application": lambda: silver["application"]})
+    inputs = _stored(spark, lazy, at_a_time=6)
+
+    def build(tables: Mapping[str, DataFrame]) -> DataFrame:
+        return marts.fact_application(tables["application"], {n: tables[n] for n in dims})
+
+    old = inputs["credit_card_agg"].withColumn(
+        "card_month_count", F.when(F.col("SK_ID_CURR") % 20 == 0, 0).otherwise(F.col("card_month_count"))
+    )
+    name = f"spark_catalog.fresh_gold.fact_{root.rpartition('-')[2]}"
+    ensure_schemas(spark, layers=("gold",), prefix="fresh_", location=root)
+    refresh_fact(spark, name, {**inputs, "credit_card_agg": old}, build, parts=8)
+    refresh_fact(spark, name, inputs, build, parts=8)
+    return _rounded(spark.table(name).drop(PART), DIGITS)
+
+
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.gold_tables(_silver(spark, sf_dir), REASONS)["fact_application"]
 
@@ -391,6 +412,7 @@ def queries() -> dict[str, Query]:
     return found | {
         "gold_fact_application": lambda spark, sf_dir: _rounded(_stored_dims_fact(spark, sf_dir), DIGITS),
         "quality_report": _quality,
+        "fact_refresh": _refreshed_fact,
         "application_category_drift": _drift,
         "risk_by_income_type": lambda spark, sf_dir: reports.risk_by_segment(
             _silver(spark, sf_dir)["application"], "NAME_INCOME_TYPE"
@@ -419,5 +441,6 @@ def oracle_sql() -> dict[str, str]:
         "default_rate_by_age": _band_sql("age_years", AGE_BANDS),
         "applicant_detail": "SELECT * FROM fact_application WHERE SK_ID_CURR = 42",
         "layers_end_to_end": "SELECT * FROM fact_application",
+        "fact_refresh": "SELECT * FROM fact_application",
     }
     return {name: _layered(text) for name, text in found.items()}

@@ -101,6 +101,8 @@ def _building(t: Tables) -> DataFrame:
     return t.customer.where("c_mktsegment = 'BUILDING'")
 
 
+KEY_SETS = (("l_orderkey",), ("l_orderkey", "flag"), ("flag", "half"))
+
 PROFILE: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
     "key_profile_single": (
         lambda t: profile.key_profile(t.orders, ["o_orderkey"]),
@@ -110,6 +112,17 @@ PROFILE: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
         lambda t: profile.key_profile(t.lineitem, ["l_orderkey", "l_linenumber"]),
         sql.key_profile("lineitem", ["l_orderkey", "l_linenumber"]),
     ),
+    "key_profiles_shared": (
+        lambda t: profile.key_profiles(_flagged_lines(t).withColumn("half", F.col("l_orderkey") % 2), KEY_SETS),
+        " UNION ALL ".join(
+            f"SELECT '{','.join(keys)}' AS key_columns, CAST(sum(n) AS BIGINT) AS row_count, "
+            f"count(*) FILTER (WHERE {' AND '.join(k + ' IS NOT NULL' for k in keys)}) AS distinct_count, "
+            f"CAST(sum(n) AS BIGINT) - count(*) FILTER (WHERE {' AND '.join(k + ' IS NOT NULL' for k in keys)}) "
+            f"AS duplicate_count FROM (SELECT {', '.join(keys)}, count(*) AS n FROM (SELECT l_orderkey, "
+            "nullif(l_returnflag, 'N') AS flag, l_orderkey % 2 AS half FROM lineitem) GROUP BY ALL)"
+            for keys in KEY_SETS
+        ),
+    ),
     "key_profile_null_parts": (
         lambda t: profile.key_profile(_flagged_lines(t), ["l_orderkey", "flag"]),
         sql.key_profile(
