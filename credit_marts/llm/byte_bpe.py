@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -23,13 +24,20 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from credit_marts.llm.common import arrow_map, slices, texts
+from credit_marts.llm.common import Kept, arrow_map, per_worker, slices, texts
 
 # Characters with the Unicode property White_Space, as the inside of a class.
 SPACES = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # A piece begins at a single space between two other characters, whatever stands further away.
-_CUT = regex.compile(rf"(?<=[^{SPACES}]) (?=[^{SPACES}])")
-_IRREGULAR = regex.compile(rf"[{SPACES}][{SPACES}]|^ | $|[{SPACES.replace(' ', '')}]")
+_CUT = re.compile(rf"(?<=[^{SPACES}]) (?=[^{SPACES}])")
+# All white space but space and line feed.
+_RARE = [c for c in map(chr, range(0x3001)) if re.match(f"[{SPACES}]", c) and c not in " \n"]
+
+
+def parted(text: str) -> list[str]:
+    """A text split at each single space between two other characters."""
+    beside = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+    return _CUT.split(text) if beside or any(c in text for c in _RARE) else text.split(" ")
 
 
 def cut(text: str) -> list[str]:
@@ -37,7 +45,7 @@ def cut(text: str) -> list[str]:
     other characters, where every piece of the pre-token pattern ends."""
     if not text:
         return []
-    first, *rest = text.split(" ") if not _IRREGULAR.search(text) else _CUT.split(text)
+    first, *rest = parted(text)
     return [first, *[" " + r for r in rest]]
 
 
@@ -133,7 +141,7 @@ class Transducer:
 
     LOOK = 512  # bytes after which the tokens all paths agree on are handed out
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 100_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000) -> None:
         self.merges = Merges(ranks)
         self.ranks = ranks
         self.most_states = most_states
@@ -241,40 +249,42 @@ class Transducer:
         return self.back(ended, len(ended))
 
 
-class Kept(dict):
-    """Values by text, worked out once; emptied when its texts have more than ``most`` characters."""
+# Bytes of the tables of units and of pieces in a worker.
+UNIT_BYTES, PIECE_BYTES = 160 << 20, 96 << 20
+
+
+class Units:
+    """Values of the units of texts (see ``cut``), kept per distinct unit."""
 
-    def __init__(self, make: Callable[[str], object], most: int) -> None:
-        super().__init__()
-        self.make, self.most, self.chars = make, most, 0
+    def __init__(self, make: Callable[[str], object], most: int = UNIT_BYTES) -> None:
+        self.first, self.known = Kept(make, most // 8), Kept(lambda rest: make(" " + rest), most)
 
-    def __missing__(self, text: str) -> object:
-        if self.chars > self.most:
-            self.clear()
-            self.chars = 0
-        self.chars += len(text) + 20
-        value = self[text] = self.make(text)
-        return value
+    def of(self, text: str) -> list:
+        """The values of a text's units, in order."""
+        return self.of_parts(parted(text)) if text else []
 
+    def of_parts(self, parts: list[str]) -> list:
+        """The same of a text that is parted already (see ``parted``)."""
+        return [self.first[parts[0]], *map(self.known.__getitem__, parts[1:])]
 
-class UnitIds:
-    """Ids of units (see ``cut``) as little-endian bytes, kept per distinct unit. ``encode`` gives
-    the ids of a unit, or those bytes."""
 
-    def __init__(self, encode: Callable[[str], Iterable[int] | bytes], width: str = "<u2", most: int = 24_000_000) -> None:
+class UnitIds(Units):
+    """Ids of units as little-endian bytes. ``encode`` gives the ids of a unit, or those bytes."""
+
+    def __init__(self, encode: Callable[[str], Iterable[int] | bytes], width: str = "<u2") -> None:
         self.width = np.dtype(width)
 
         def as_bytes(unit: str) -> bytes:
             found = encode(unit)
             return found if isinstance(found, bytes) else np.array(found, dtype=self.width).tobytes()
 
-        self.known = Kept(as_bytes, most)
+        super().__init__(as_bytes)
 
     def __call__(self, units: list[str]) -> Iterator[bytes]:
-        return map(self.known.__getitem__, units)
+        return (self.known[unit[1:]] if unit[:1] == " " else self.first[unit] for unit in units)
 
     def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(self(cut(text))), dtype=self.width)
+        return np.frombuffer(b"".join(self.of(text)), dtype=self.width)
 
 
 def pre_token_regex(pattern: str) -> regex.Pattern:
@@ -283,28 +293,36 @@ def pre_token_regex(pattern: str) -> regex.Pattern:
     return regex.compile(spaces.replace(f"[^[{SPACES}]", f"[^{SPACES}"))
 
 
-_made: dict[tuple, UnitIds] = {}
+def _width(ranks: dict[bytes, int]) -> str:
+    return "<u2" if max(ranks.values(), default=0) < 2**16 else "<u4"
+
+
+def _pieces(ranks: dict[bytes, int], pattern: str) -> Callable[[str], list[int]]:
+    """The ids of a unit by the transducer behind the pre-token pattern."""
+    machine, split = Transducer(ranks), pre_token_regex(pattern)
+    known = Kept(lambda piece: tuple(machine.encode(piece.encode())), PIECE_BYTES)
+    return lambda unit: [i for piece in split.findall(unit) for i in known[piece]]
 
 
 def encoder(ranks_path: str, pattern: str) -> UnitIds:
     """The transducer of a rank file behind the pre-token pattern, one per worker."""
-    if (ranks_path, pattern) not in _made:
+
+    def make() -> UnitIds:
         ranks = read_ranks(ranks_path)
-        machine, split = Transducer(ranks), pre_token_regex(pattern)
-        wide = "<u2" if max(ranks.values(), default=0) < 2**16 else "<u4"
-        pieces = UnitIds(lambda piece: machine.encode(piece.encode()), wide)
-        _made[ranks_path, pattern] = UnitIds(lambda unit: b"".join(pieces(split.findall(unit))), wide)
-    return _made[ranks_path, pattern]
+        return UnitIds(_pieces(ranks, pattern), _width(ranks))
+
+    return per_worker("byte_bpe", (ranks_path, pattern), make)
 
 
 def library_encoder(ranks_path: str, pattern: str) -> UnitIds:
     """The same ids by a public library, for operators whose own method lies elsewhere."""
-    if (ranks_path, pattern, "library") not in _made:
+
+    def make() -> UnitIds:
         ranks = read_ranks(ranks_path)
         by = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        wide = "<u2" if max(ranks.values(), default=0) < 2**16 else "<u4"
-        _made[ranks_path, pattern, "library"] = UnitIds(by.encode_ordinary, wide)
-    return _made[ranks_path, pattern, "library"]
+        return UnitIds(by.encode_ordinary, _width(ranks))
+
+    return per_worker("library", (ranks_path, pattern), make)
 
 
 class Utf8Machine:
@@ -344,6 +362,12 @@ class Utf8Machine:
             self.steps[key] = (data[keep:], data[:keep].decode("utf-8", "replace"))
         return self.steps[key]
 
+    def block(self, state: bytes, ids: Iterable[int]) -> tuple[bytes, str]:
+        """As ``step``, for a run of tokens at once."""
+        data = state + b"".join(map(self.token_bytes.__getitem__, ids))
+        keep = len(data) - self._unfinished(data)
+        return data[keep:], data[:keep].decode("utf-8", "replace")
+
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of ids, piece by piece, each character as soon as it is complete."""
         state = b""
@@ -355,13 +379,55 @@ class Utf8Machine:
             yield state.decode("utf-8", "replace")
 
 
-_decoders: dict[str, Utf8Machine] = {}
+def unit_counts(ranks_path: str, pattern: str) -> Units:
+    """The number of tokens of units, by a public library."""
+
+    def make() -> Units:
+        by = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
+        return Units(lambda unit: len(by.encode_ordinary(unit)))
+
+    return per_worker("unit counts", (ranks_path, pattern), make)
 
 
 def decoder(ranks_path: str) -> Utf8Machine:
-    if ranks_path not in _decoders:
-        _decoders[ranks_path] = Utf8Machine({rank: token for token, rank in read_ranks(ranks_path).items()})
-    return _decoders[ranks_path]
+    return per_worker("utf8", ranks_path, lambda: Utf8Machine({rank: token for token, rank in read_ranks(ranks_path).items()}))
+
+
+class RoundTrips(Units):
+    """Per unit the decimal ids as text, for units whose ids decode to the unit again and leave the
+    decoder where it began; None for others."""
+
+    def __init__(self, ranks_path: str, pattern: str) -> None:
+        ranks = read_ranks(ranks_path)
+        machine, split = Transducer(ranks), pre_token_regex(pattern)
+        self.decoder = Utf8Machine({rank: token for token, rank in ranks.items()})
+        self.pieces = Kept(lambda piece: " ".join(map(str, machine.encode(piece.encode()))), PIECE_BYTES)
+        self.split = split
+
+        def make(unit: str) -> str | None:
+            said = self.ids_of(unit)
+            return said if self.decoder.block(b"", map(int, said.split())) == (b"", unit) else None
+
+        super().__init__(make)
+
+    def ids_of(self, unit: str) -> str:
+        return " ".join(map(self.pieces.__getitem__, self.split.findall(unit)))
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """The number of ids, and the digests of the ids and of what they decode to."""
+        if not text:
+            return 0, _NOTHING, _NOTHING
+        found = self.of(text)
+        if None in found:  # a character goes on in the next unit: decode all ids as one stream
+            said = " ".join(map(self.ids_of, cut(text)))
+            back = "".join(self.decoder.stream(map(int, said.split())))
+        else:
+            said, back = " ".join(found), text  # the units' texts, one after the other
+        digest = hashlib.sha256
+        return said.count(" ") + 1, digest(said.encode()).hexdigest(), digest(back.encode()).hexdigest()
+
+
+_NOTHING = hashlib.sha256().hexdigest()
 
 
 def encode(
@@ -399,16 +465,10 @@ def digests(
     """(id, n_tokens, ids_sha256, decoded_sha256): encode every text, then decode the ids."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, machine = encoder(ranks_path, pattern), decoder(ranks_path)
-        names = [str(i) for i in range(max(machine.token_bytes) + 1)]
+        trips = per_worker("round trips", (ranks_path, pattern), lambda: RoundTrips(ranks_path, pattern))
         for batch in found:
             for part in slices(batch):
-                rows = []
-                for text in part["text"].to_pylist():
-                    ids = units.ids(text).tolist()
-                    said = hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest()
-                    back = hashlib.sha256("".join(machine.stream(ids)).encode()).hexdigest()
-                    rows.append((len(ids), said, back))
+                rows = [trips.digests(text) for text in part["text"].to_pylist()]
                 counts, said, back = zip(*rows, strict=True) if rows else ((), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], pa.array(counts, pa.int64()), pa.array(said, pa.string()), pa.array(back, pa.string())],

@@ -6,6 +6,7 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -97,31 +98,78 @@ def crc_bucket(id_col: str, modulus: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
+# What the operators keep in a worker: the tables of one of them at a time, by operator and model.
+_held: dict[tuple, object] = {}
+
+# Bytes that one operator's tables may take in a worker. Texts, slots and rows are counted, not
+# characters alone.
+TABLE_BYTES = 96 << 20
+_SLOT = 110  # of a dictionary entry and a small number
+
+
+def per_worker(operator: str, model: object, make: Callable[[], object]):
+    """The tables of an operator in this worker, made once per model.
+
+    Workers outlive stages. What other operators, or other models of this one, have left behind is
+    dropped first, so a worker never holds the tables of two stages.
+    """
+    key = (operator, model)
+    if key not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[key] = make()
+    return _held[key]
+
+
+class Kept(dict):
+    """Values by text, worked out once, in about ``most`` bytes.
+
+    When half of them are used, the values are set aside, where they are found again as long as they
+    are needed; those that are not go the next time. So frequent texts stay.
+    """
+
+    def __init__(self, make: Callable[[str], object], most: int = TABLE_BYTES) -> None:
+        super().__init__()
+        self.make, self.most, self.bytes, self.aside = make, most, 0, {}
+
+    def __missing__(self, text: str) -> object:
+        if 2 * self.bytes > self.most:
+            self.aside = dict(self)
+            self.clear()
+            self.bytes = 0
+        value = self.aside.pop(text) if text in self.aside else self.make(text)
+        self[text] = value
+        inner = sum(map(getsizeof, value)) if type(value) is tuple else 0
+        self.bytes += getsizeof(text) + getsizeof(value) + inner + _SLOT
+        return value
+
+
 class WordTable:
-    """Values per distinct word, computed once per worker; emptied when its words have more than
-    ``most`` characters.
+    """Values per distinct word, computed once per worker; emptied when they take more than ``most``
+    bytes.
 
     ``fill`` gets the words that are new and returns their values, one row per word.
     """
 
-    def __init__(self, fill: Callable[[list], np.ndarray], most: int = 8_000_000) -> None:
+    def __init__(self, fill: Callable[[list], np.ndarray], most: int = TABLE_BYTES) -> None:
         self.fill, self.most = fill, most
         self.forget()
 
     def forget(self) -> None:
         self.rows: dict = {}
         self.values = self.fill([])
-        self.chars = 0
+        self.bytes = 0
 
     def __call__(self, words: list) -> np.ndarray:
         """The row of every word in ``values``."""
-        if self.chars > self.most:
+        if self.bytes > self.most:
             self.forget()
         new = list(set(words).difference(self.rows))
         if new:
             at, end = len(self.rows), len(self.rows) + len(new)
             self.rows.update(zip(new, range(at, end), strict=True))
-            self.chars += sum(map(len, new)) + 20 * len(new)
+            row = 2 * self.values.itemsize * int(np.prod(self.values.shape[1:], dtype=np.int64))  # with room to grow
+            self.bytes += sum(map(getsizeof, new)) + (_SLOT + row) * len(new)
             if end > len(self.values):
                 room = np.zeros((2 * end, *self.values.shape[1:]), self.values.dtype)
                 room[:at] = self.values[:at]

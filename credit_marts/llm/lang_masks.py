@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credit_marts.llm.common import Steps, WordTable, arrow_map, crc_bucket, hashed_share, sample_share, slices, texts
+from credit_marts.llm.common import Steps, WordTable, arrow_map, crc_bucket, hashed_share, per_worker, sample_share, slices, texts
 from credit_marts.llm.minhash import mixed
 
 FIT_ROWS = 3_000  # documents per language that n-grams are counted in
@@ -35,6 +35,7 @@ MOST_BYTES = 1 << 25  # size of the filter, unless its least slots already need
 FOLDS, HELD_OUT = 3, 1
 GRAMS = (1, 2, 3, 4)
 LEAST_BITS, HASHES = 20, 3  # at least 2 ** LEAST_BITS slots
+BLOCK = 4096  # slots that come to the driver as one value
 ROOM = 8  # slots for each n-gram of the language with most
 RARER = 0.2  # an n-gram belongs to a language with at least this share of its highest rate
 
@@ -178,11 +179,34 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     counts = [r["count"] for r in own.groupBy("number").count().collect()]
     masks = Filter.empty(languages, slot_bits(len(languages), max(counts, default=0)))
     slots = arrow_map(own, _placed(masks.bits), "slot bigint, byte int, mask int")
-    slots = slots.groupBy("slot", "byte").agg(F.bit_or("mask").cast("tinyint").alias("mask")).toArrow()  # no more than the filter
-    masks.slots[slots["slot"].to_numpy(), slots["byte"].to_numpy()] = slots["mask"].to_numpy().view(np.uint8)
+    slots = slots.groupBy("slot", "byte").agg(F.bit_or("mask").alias("mask"))
+    # Blocks of the filter as strings of bytes: the driver gets the filter and nothing beside it.
+    size = masks.slots.shape[1]
+    cell = ((F.col("slot") % BLOCK) * size + F.col("byte")).cast("int")
+    blocks = slots.groupBy(F.floor(F.col("slot") / BLOCK).alias("block")).agg(
+        F.collect_list(F.struct(cell.alias("cell"), F.col("mask").cast("tinyint").alias("mask"))).alias("cells")
+    )
+    packed = arrow_map(blocks, _packed(BLOCK * size), "block bigint, cells binary").toArrow()
+    for block, cells in zip(packed["block"].to_pylist(), packed["cells"], strict=True):
+        masks.slots[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(cells.as_buffer(), np.uint8).reshape(BLOCK, size)
     return masks
 
 
+def _packed(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks of the filter, all their bytes in order."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            blocks = []
+            for cells in batch["cells"]:
+                whole = np.zeros(size, np.uint8)
+                whole[cells.values.field("cell").to_numpy()] = cells.values.field("mask").to_numpy().view(np.uint8)
+                blocks.append(whole.tobytes())
+            yield pa.RecordBatch.from_arrays([batch["block"], pa.array(blocks, pa.binary())], ["block", "cells"])
+
+    return batches
+
+
 def _placed(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -194,16 +218,10 @@ def _placed(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return batches
 
 
-_tables: dict[tuple, tuple[WordTable, np.ndarray]] = {}
-
-
 def _table(masks: Filter) -> tuple[WordTable, np.ndarray]:
     """The counts per word and the false rates of a filter, one per worker and filter."""
     name = (*masks.languages, int(masks.slots.sum(dtype=np.int64)))
-    if name not in _tables:
-        _tables.clear()
-        _tables[name] = WordTable(masks.word_counts), masks.false_rates()
-    return _tables[name]
+    return per_worker("lang_masks", name, lambda: (WordTable(masks.word_counts), masks.false_rates()))
 
 
 def predicted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

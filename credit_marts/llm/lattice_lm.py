@@ -41,7 +41,7 @@ from credit_marts.llm.common import Steps, arrow_map, crc_bucket, slices
 FOLDS, HELD_OUT = 7, 2
 PRIOR = 10_000.0  # pieces that the vocabulary's own scores count for
 TOLERANCE, MOST_ROUNDS = 0.001, 20
-HOT = 100_000  # words that all tasks hold, at most
+HOT = 400_000  # words that all tasks hold, at most
 HOT_CHARS = 64  # of such a word
 MOST_KEPT = 300_000  # distinct words a task adds up before it sends them
 LATTICE_CHARS = 30_000  # characters of words whose lattices are built at a time
@@ -259,14 +259,14 @@ class Lattice:
         return out, float(sums[self.last] @ times)
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch, sorted by the size of their words, about LATTICE_CHARS at a time."""
-    sizes = np.array([len(w) for w in batch["word"].to_pylist()], dtype=np.int64)
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[str], np.ndarray]]:
+    """The words of a batch by their size, about LATTICE_CHARS at a time, and their rows."""
+    words = batch["word"].to_pylist()
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(sizes, kind="stable")
-    batch, group = batch.take(pa.array(order)), np.cumsum(sizes[order]) // LATTICE_CHARS
-    starts = np.flatnonzero(np.diff(group, prepend=-1)) if len(group) else []
-    for begin, end in zip(starts, [*starts[1:], len(group)], strict=True):
-        yield batch.slice(begin, end - begin)
+    group = np.cumsum(sizes[order]) // LATTICE_CHARS
+    for rows in np.split(order, np.flatnonzero(np.diff(group)) + 1) if len(order) else ():
+        yield [words[i] for i in rows.tolist()], rows
 
 
 def _counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,8 +340,9 @@ def _used(vocabulary: Vocabulary, logs: np.ndarray):
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses, likelihood = np.zeros(len(logs)), 0.0
         for batch in found:
-            for part in _blocks(batch):
-                own, log = Lattice(part["word"].to_pylist(), vocabulary).uses(logs, part["learned"].to_numpy().astype(float))
+            times = batch["learned"].to_numpy().astype(float)
+            for words, rows in _blocks(batch):
+                own, log = Lattice(words, vocabulary).uses(logs, times[rows])
                 uses += own
                 likelihood += log
         used = np.flatnonzero(uses)
@@ -357,11 +358,11 @@ def word_scores(words: DataFrame, vocabulary: Vocabulary, logs: np.ndarray) -> D
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            for part in _blocks(batch):
-                texts = part["word"].to_pylist()
-                own = Lattice(texts, vocabulary).logs(logs)
-                own[np.array([t == END for t in texts])] = logs[-1]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own / _TEN)], [*part.schema.names, "log"])
+            own = np.zeros(len(batch))
+            for words, rows in _blocks(batch):
+                own[rows] = Lattice(words, vocabulary).logs(logs)
+                own[rows[[word == END for word in words]]] = logs[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own / _TEN)], [*batch.schema.names, "log"])
 
     return arrow_map(words.select("word", "n", "learned"), batches, "word string, n bigint, learned bigint, log double")
 

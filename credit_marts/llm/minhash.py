@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credit_marts.llm.common import Steps, WordTable, arrow_map, slices, texts
+from credit_marts.llm.common import Steps, WordTable, arrow_map, per_worker, slices, texts
 from credit_marts.llm.components import components
 
 BANDS, BAND_ROWS = 40, 6  # a pair at a similarity of 0.8 misses all bands with probability 5e-6
@@ -66,15 +66,10 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
 
 
-_word_table: list[WordTable] = []
-
-
 def hashed_sets(lines: list[str], size: int) -> list[np.ndarray]:
     """The sorted distinct 64-bit hashes of each text's shingles."""
-    if not _word_table:
-        _word_table.append(WordTable(_word_hashes))
     split = [words_of(t) for t in lines]
-    table = _word_table[0]
+    table = per_worker("minhash", None, lambda: WordTable(_word_hashes))
     rows = table([w for words in split for w in words])
     hashes, at, found = table.values[rows], 0, []
     for words in split:

@@ -72,8 +72,8 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         edit(size - 7, size, F.lit(None).cast("string")),
         edit(F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.substring("text", 1, 20)),
     )
-    trees = edit_counts.trees(table(spark, sf_dir, "documents"), RANKS, PATTERN, keep={"edits": edits})
-    return _doc_id(edit_counts.apply_edits(trees, RANKS, PATTERN, with_text=False))
+    docs = table(spark, sf_dir, "documents")
+    return _doc_id(edit_counts.edit_texts(docs, edits, RANKS, PATTERN, with_text=False))
 
 
 def op6_curve_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

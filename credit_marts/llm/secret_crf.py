@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from credit_marts.llm.common import Steps, WordTable, arrow_map, hashed_share, sample_share, ship, slices, texts
+from credit_marts.llm.common import Kept, Steps, WordTable, arrow_map, hashed_share, per_worker, sample_share, ship, slices, texts
 
 # The patterns, with the group and the least characters that make a match count.
 PATTERNS = {
@@ -50,6 +50,7 @@ _KEYWORD = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.I)
 
 FIT_ROWS = 10_000  # documents without a match the field is trained on, about
 MATCH_ROWS = 4_000  # documents with a match it is trained on besides, at most
+WINDOWS = 10_000  # windows around secrets that the field learns from, of those documents
 REACH = 5  # tokens on each side of a secret that are trained on with it
 WINDOW = 2 * REACH + 3
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
@@ -118,19 +119,11 @@ _OF_WORD = [
 SHAPES = len(_OF_SKELETON) + len(_OF_WORD) + 1  # and a constant
 
 _classes = _Skeleton()
-_known: dict[str, list[bool]] = {}
+_known = Kept(lambda skeleton: [bool(test(skeleton)) for test in _OF_SKELETON], 1 << 23)
 
 
 def shapes(words: list[str]) -> np.ndarray:
-    if len(_known) > 100_000:
-        _known.clear()
-    rows = []
-    for word in words:
-        skeleton = word.translate(_classes)
-        found = _known.get(skeleton)
-        if found is None:
-            found = _known[skeleton] = [bool(test(skeleton)) for test in _OF_SKELETON]
-        rows.append(found)
+    rows = [_known[word.translate(_classes)] for word in words]
     out = np.ones((len(words), SHAPES), dtype=np.float32)
     out[:, : len(_OF_SKELETON)] = np.array(rows, dtype=bool).reshape(len(words), len(_OF_SKELETON))
     for i, test in enumerate(_OF_WORD, start=len(_OF_SKELETON)):
@@ -271,26 +264,26 @@ def _matching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text, a window around every secret and one anywhere, of one length or the whole text."""
+    kinds = (pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.float64()))
     for batch in batches:
-        rows = []
-        for text, chosen in zip(batch["text"].to_pylist(), batch["chosen"].to_pylist(), strict=True):
-            words, tags = tagged(text)
-            secrets = np.flatnonzero(tags == BEGIN).tolist()[:4]
-            if bool(secrets) != chosen:  # has a match, but is not in the sample of those
-                continue
-            centres = secrets + [hash(len(text)) % max(len(words), 1)]
-            if len(words) < WINDOW:
-                centres = [0] if secrets else []
-            for centre in centres:
-                at = max(0, min(centre - REACH, len(words) - WINDOW))
-                while at > 0 and tags[at] == INSIDE:
-                    at -= 1
-                rows.append((words[at : at + WINDOW], tags[at : at + WINDOW].tolist(), file_features(text, len(words))))
-        columns = list(zip(*rows, strict=True)) if rows else [()] * 3
-        kinds = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["words", "tags", "file"]
-        )
+        for part in slices(batch):
+            rows = []
+            for text, chosen in zip(part["text"].to_pylist(), part["chosen"].to_pylist(), strict=True):
+                words, tags = tagged(text)
+                secrets = np.flatnonzero(tags == BEGIN).tolist()
+                if bool(secrets) != chosen:  # has a match, but is not in the sample of those
+                    continue
+                centres = [*secrets, len(text) % max(len(words), 1)] if len(words) >= WINDOW else [0]
+                about = file_features(text, len(words))
+                for n, centre in enumerate(centres):
+                    at = max(0, min(centre - REACH, len(words) - WINDOW))
+                    while at > 0 and tags[at] == INSIDE:
+                        at -= 1
+                    rows.append((n < len(secrets), words[at : at + WINDOW], tags[at : at + WINDOW].tolist(), about))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["secret", "words", "tags", "file"]
+            )
 
 
 def fit(
@@ -308,7 +301,12 @@ def fit(
     share = sample_share(lines.count(), rows)
     sample = lines.join(F.broadcast(chosen), "key", "left").where(F.col("chosen") | hashed_share("key", share))
     sample = sample.select("text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
-    found = arrow_map(sample, _windows, "words array<string>, tags array<int>, file array<double>").toArrow()
+    found = arrow_map(sample, _windows, "secret boolean, words array<string>, tags array<int>, file array<double>")
+    found = steps.store(found)
+    # A document may hold any number of secrets: of all their windows a share is learned from.
+    part = sample_share(found.where("secret").count(), WINDOWS)
+    found = found.where(~F.col("secret") | (F.pmod(F.xxhash64("words", F.lit("window")), F.lit(1_000_000)) < int(part * 1_000_000)))
+    found = found.select("words", "tags", "file").toArrow().combine_chunks()
     own = found["words"].to_pylist()
     words, tags = np.zeros((len(own), WINDOW, SHAPES), dtype=np.float32), np.full((len(own), WINDOW), OUTSIDE)
     for i, (some, given) in enumerate(zip(own, found["tags"].to_pylist(), strict=True)):
@@ -316,15 +314,9 @@ def fit(
     return train(words, tags, np.array(found["file"].to_pylist()))
 
 
-_tables: dict[float, WordTable] = {}
-
-
 def _table(field: Field) -> WordTable:
     name = float(field.own.sum() + field.before.sum() * 3 + field.after.sum() * 7)
-    if name not in _tables:
-        _tables.clear()
-        _tables[name] = WordTable(field.word_scores)
-    return _tables[name]
+    return per_worker("secret_crf", name, lambda: WordTable(field.word_scores))
 
 
 def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:

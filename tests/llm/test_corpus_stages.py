@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from plain_pairs import all_pairs
 from pyspark.sql import functions as F
 
 from credit_marts.llm import content_sort, minhash, secret_crf, toxicity
@@ -74,7 +75,7 @@ def test_one_of_equal_texts_stays(stages):
     assert after.exceptAll(before).count() == 0
 
 
-def test_one_of_near_copies_stays(stages, all_pairs):
+def test_one_of_near_copies_stays(stages):
     before, after = stages["near_dedup"]
     rows = before.collect()
     groups = all_pairs([(r["doc_id"], r["text"]) for r in rows if r["doc_id"] is not None], 5, 80)

@@ -81,3 +81,42 @@ def test_filter_grows_with_its_grams():
     others = masks.has(chance.integers(0, 2**63, 20_000, dtype=np.uint64))
     assert abs(others.mean(axis=0) - masks.false_rates()).max() < 0.01
     assert lang_masks.slot_bits(2000, 400_000) == lang_masks.LEAST_BITS
+
+
+def test_predictions_against_counts_gram_by_gram(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    masks = lang_masks.fit(docs)
+    false = masks.false_rates().tolist()
+    texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id % 9 = 0").collect()}
+    rows = [r for r in lang_masks.predicted(docs).collect() if r["id"] in texts]
+    assert len(rows) > 100
+    for r in rows:
+        sums, grams = [0] * len(masks.languages), 0
+        for word in lang_masks.words_of(texts[r["id"]] or ""):
+            for h in lang_masks.gram_hashes([word])[0]:
+                grams += 1
+                held = [masks.slots[p[0]] for p in lang_masks.slots_of(np.array([h]), masks.bits)]
+                for n in range(len(sums)):
+                    sums[n] += all(int(mask[n // 8]) >> (n % 8) & 1 for mask in held)
+        real = [max(0.0, (s - grams * f) / (1 - f)) for s, f in zip(sums, false, strict=True)]
+        best = max(range(len(real)), key=lambda n: (real[n], -n))
+        assert r["lang_pred"] == (masks.languages[best] if grams else "und")
+        assert abs(r["score"] - (real[best] / sum(real) if grams and sum(real) else 0.0)) < 1e-6
+
+
+def test_collected_filter_is_the_one_made_at_once(spark):
+    """The filter that Spark puts together in blocks has the bits of one made of all n-grams here."""
+    words = {"en": ["the", "house", "garden"], "de": ["das", "haus", "garten"], "fr": ["la", "maison"]}
+    docs = [(i * 3 + n, " ".join(w), lang) for n, (lang, w) in enumerate(words.items()) for i in range(40)]
+    masks = lang_masks.fit(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"))
+    hashes, owner = [], []
+    rates = {lang: dict(zip(*np.unique(lang_masks.gram_hashes(w)[0], return_counts=True))) for lang, w in words.items()}
+    totals = {lang: sum(own.values()) for lang, own in rates.items()}
+    for h in sorted({h for own in rates.values() for h in own}):
+        shares = {lang: own.get(h, 0) / totals[lang] for lang, own in rates.items()}
+        for lang, share in shares.items():
+            if share and share >= lang_masks.RARER * max(shares.values()):
+                hashes.append(h)
+                owner.append(masks.languages.index(lang))
+    whole = lang_masks.Filter.of(masks.languages, np.array(hashes, np.uint64), np.array(owner))
+    assert (whole.slots == masks.slots).all()

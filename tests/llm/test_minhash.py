@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from plain_pairs import all_pairs
 
 from credit_marts.llm import minhash
 from credit_marts.llm.components import UnionFind, components
@@ -67,7 +68,7 @@ def test_long_texts_are_bid_for_in_parts(monkeypatch):
 
 
 @pytest.mark.parametrize("size", [4, 5])
-def test_groups_of_made_texts(spark, size, all_pairs):
+def test_groups_of_made_texts(spark, size):
     chance = random.Random(4)
     words = [f"w{i}" for i in range(60)]
     docs, base = [], [chance.choice(words) for _ in range(80)]
@@ -96,7 +97,7 @@ def test_odd_rows(spark):
     assert minhash.near_duplicates(frame.limit(0)).collect() == []
 
 
-def test_given_documents(spark, all_pairs):
+def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     expected = all_pairs([(r["doc_id"], r["text"]) for r in docs.collect()], 4, 80)
     assert found(minhash.near_duplicates(docs, size=4)) == expected
