@@ -3,7 +3,7 @@
 Token counts of a document, hashed with signs into a vector and projected to three dimensions, give
 its place on a Hilbert curve. Rows are range-sorted by that place; the tokens of all documents in
 this order, each ended by id 0, are cut every ``length`` tokens, so only the very last sequence is
-not full. Splitters are quantiles of all keys; a hash of the id in the low bits of the key splits
+not full. Splitters are quantiles of all keys by tokens; a hash of the id in the low bits of the key splits
 groups of equal documents between partitions. The first position of a partition is the sum of the
 token counts of the partitions before it, one number for each.
 
@@ -17,19 +17,19 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credit_marts.llm.byte_bpe import cut, library_encoder
-from credit_marts.llm.common import Steps, arrow_map, partitions, ship, slices, texts
+from credit_marts.llm.byte_bpe import library_encoder
+from credit_marts.llm.common import Steps, arrow_map, ranges, slices, texts
 from credit_marts.llm.minhash import mixed
 
 DIMS, BITS = 3, 14  # of the curve
 TIE_BITS = 20
 HASHED = 256  # dimensions of the hashed vectors
+TOKENS_A_RANGE = 16_000_000
 
 
 def hilbert(places: np.ndarray, bits: int) -> np.ndarray:
@@ -86,7 +86,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, end_id: int) -> Data
         projector = Projector(1 << 16 if units.width.itemsize == 2 else 1 << 18)
         for batch in found:
             for part in slices(batch):
-                data = [b"".join(units(cut(t))) + end for t in part["text"].to_pylist()]
+                data = [b"".join(units.of(t)) + end for t in part["text"].to_pylist()]
                 if not data:
                     continue
                 vectors = np.array([projector.vector(np.frombuffer(d, units.width)) for d in data])
@@ -112,18 +112,16 @@ def pack(
     """Pieces of documents in sequences: (id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset) and, unless told otherwise, their ids."""
     spark = docs.sparkSession
-    steps, parts = Steps(spark), partitions(spark)
-    ship(spark)
+    steps = Steps(spark)
     rows = steps.store(encoded(texts(docs, id_col, text_col), ranks_path, pattern, end_id), codec="zstd")
+    total = rows.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    parts = ranges(spark, total, TOKENS_A_RANGE)
     shares = F.array(*[F.lit(i / parts) for i in range(1, parts)] or [F.lit(0.5)])
-    cuts = rows.agg(F.percentile_approx("key", shares, 10_000).alias("cuts")).first()["cuts"] or []
-    cuts = np.array(cuts if parts > 1 else [], dtype=np.int64)
-
-    @F.pandas_udf("int")
-    def part_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, keys.to_numpy(), side="right").astype(np.int32))
-
-    placed = rows.withColumn("part", part_of("key"))
+    # A key counts once for every sequence its document fills, so that ranges balance tokens.
+    keys = rows.select("key", F.explode(F.sequence(F.lit(1), F.ceil(F.col("tokens") / length))))
+    cuts = keys.agg(F.percentile_approx("key", shares, max(10_000, 20 * parts)).alias("cuts")).first()["cuts"] or []
+    cuts = F.array(*[F.lit(cut).cast("bigint") for cut in (cuts if parts > 1 else [])]).cast("array<bigint>")
+    placed = rows.withColumn("part", F.size(F.filter(cuts, lambda cut: cut <= F.col("key"))))
     totals = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.sum("tokens").alias("n")).collect()}
     begins, at = {}, 0  # one number per partition
     for part in sorted(totals):
@@ -154,5 +152,5 @@ def pack(
 
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     schema = ", ".join(f"`{n}` bigint" for n in names[:7]) + (", ids array<int>" if with_ids else "")
-    dealt = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("key", "id")
+    dealt = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("key", "id", "ids")
     return arrow_map(dealt.select("id", "part", "ids"), pieces, schema)
