@@ -53,6 +53,7 @@ MATCH_ROWS = 4_000  # documents with a match it is trained on besides, at most
 WINDOWS = 10_000  # windows around secrets that the field learns from, of those documents
 REACH = 5  # tokens on each side of a secret that are trained on with it
 WINDOW = 2 * REACH + 3
+BLOCK = 1_024  # windows whose slopes are worked out at a time
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
 _TOKEN = re.compile(r"\S+")
@@ -191,43 +192,52 @@ class Field:
 FORBIDDEN = -1e9
 
 
+def _slopes(field: Field, words: np.ndarray, tags: np.ndarray, file: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the likelihood of some windows, by weights."""
+    length = words.shape[1]
+    beyond = np.where(words.any(axis=2)[:, :, None], 0.0, [FORBIDDEN, FORBIDDEN, 0.0])
+    truth = np.eye(3)[tags]
+    emitted = words @ field.own + (file @ field.file)[:, None, :] + beyond
+    emitted[:, 1:] += (words @ field.before)[:, :-1]
+    emitted[:, :-1] += (words @ field.after)[:, 1:]
+    ahead, behind = np.zeros_like(emitted), np.zeros_like(emitted)
+    ahead[:, 0] = field.moves[OUTSIDE] + emitted[:, 0]
+    for t in range(1, length):
+        ahead[:, t] = np.logaddexp.reduce(ahead[:, t - 1, :, None] + field.moves, axis=1) + emitted[:, t]
+    for t in range(length - 2, -1, -1):
+        behind[:, t] = np.logaddexp.reduce(field.moves + (emitted[:, t + 1] + behind[:, t + 1])[:, None, :], axis=2)
+    whole = np.logaddexp.reduce(ahead[:, -1], axis=1)
+    wrong = np.exp(ahead + behind - whole[:, None, None]) - truth
+    pairs = np.exp(
+        ahead[:, :-1, :, None] + field.moves + (emitted + behind)[:, 1:, None, :] - whole[:, None, None, None]
+    ).sum((0, 1))
+    both = ([0, 1], [0, 1])
+    return {
+        "own": np.tensordot(words, wrong, both), "before": np.tensordot(words[:, :-1], wrong[:, 1:], both),
+        "after": np.tensordot(words[:, 1:], wrong[:, :-1], both), "file": file.T @ wrong.sum(1),
+        "moves": pairs - np.einsum("wta,wtb->ab", truth[:, :-1], truth[:, 1:]),
+    }
+
+
 def train(words: np.ndarray, tags: np.ndarray, file: np.ndarray, rounds: int = 100, rate: float = 0.15) -> Field:
     """Maximise the likelihood of tag sequences by gradient steps on forward and backward sums.
 
     ``words`` is windows x tokens x shapes, ``tags`` windows x tokens, ``file`` windows x features.
-    Places without any shape, after the end of a short text, are outside for certain.
+    Places without any shape, after the end of a short text, are outside for certain. Slopes are added
+    up over BLOCK windows at a time, which bounds the memory besides ``words``.
     """
     windows, length, _ = words.shape
-    words = words.astype(np.float64)
-    beyond = np.where(words.any(axis=2)[:, :, None], 0.0, [FORBIDDEN, FORBIDDEN, 0.0])
     chance = np.random.default_rng(0)
     field = Field(*(chance.normal(0, 0.01, (n, 3)) for n in (SHAPES, SHAPES, SHAPES, FILE_FEATURES, 3)))
     parts = {"own": field.own, "before": field.before, "after": field.after, "file": field.file, "moves": field.moves}
     moments = {n: [np.zeros_like(p), np.zeros_like(p)] for n, p in parts.items()}
-    truth = np.eye(3)[tags]
-    true_moves = np.einsum("wta,wtb->ab", truth[:, :-1], truth[:, 1:])
     for step in range(1, rounds + 1):
         field.moves[OUTSIDE, INSIDE] = FORBIDDEN
-        emitted = words @ field.own + (file @ field.file)[:, None, :] + beyond
-        emitted[:, 1:] += (words @ field.before)[:, :-1]
-        emitted[:, :-1] += (words @ field.after)[:, 1:]
-        ahead, behind = np.zeros_like(emitted), np.zeros_like(emitted)
-        ahead[:, 0] = field.moves[OUTSIDE] + emitted[:, 0]
-        for t in range(1, length):
-            ahead[:, t] = np.logaddexp.reduce(ahead[:, t - 1, :, None] + field.moves, axis=1) + emitted[:, t]
-        for t in range(length - 2, -1, -1):
-            behind[:, t] = np.logaddexp.reduce(field.moves + (emitted[:, t + 1] + behind[:, t + 1])[:, None, :], axis=2)
-        whole = np.logaddexp.reduce(ahead[:, -1], axis=1)
-        wrong = np.exp(ahead + behind - whole[:, None, None]) - truth
-        pairs = np.exp(
-            ahead[:, :-1, :, None] + field.moves + (emitted + behind)[:, 1:, None, :] - whole[:, None, None, None]
-        ).sum((0, 1))
-        both = ([0, 1], [0, 1])
-        slopes = {
-            "own": np.tensordot(words, wrong, both), "before": np.tensordot(words[:, :-1], wrong[:, 1:], both),
-            "after": np.tensordot(words[:, 1:], wrong[:, :-1], both), "file": file.T @ wrong.sum(1),
-            "moves": pairs - true_moves,
-        }
+        slopes = {name: np.zeros_like(part) for name, part in parts.items()}
+        for at in range(0, windows, BLOCK):
+            own = slice(at, at + BLOCK)
+            for name, slope in _slopes(field, words[own].astype(np.float64), tags[own], file[own]).items():
+                slopes[name] += slope
         for name, part in parts.items():
             allowed = part > FORBIDDEN / 2
             slope = (slopes[name] + 0.05 * np.where(allowed, part, 0)) / windows
@@ -306,11 +316,13 @@ def fit(
     # A document may hold any number of secrets: of all their windows a share is learned from.
     part = sample_share(found.where("secret").count(), WINDOWS)
     found = found.where(~F.col("secret") | (F.pmod(F.xxhash64("words", F.lit("window")), F.lit(1_000_000)) < int(part * 1_000_000)))
-    found = found.select("words", "tags", "file").toArrow().combine_chunks()
-    own = found["words"].to_pylist()
-    words, tags = np.zeros((len(own), WINDOW, SHAPES), dtype=np.float32), np.full((len(own), WINDOW), OUTSIDE)
-    for i, (some, given) in enumerate(zip(own, found["tags"].to_pylist(), strict=True)):
-        words[i, : len(some)], tags[i, : len(some)] = shapes(some), given
+    found = found.select("words", "tags", "file").toArrow()
+    words, tags = np.zeros((len(found), WINDOW, SHAPES), dtype=bool), np.full((len(found), WINDOW), OUTSIDE, dtype=np.int8)
+    i = 0
+    for batch in found.select(["words", "tags"]).to_batches(max_chunksize=BLOCK):
+        for some, given in zip(batch["words"].to_pylist(), batch["tags"].to_pylist(), strict=True):
+            words[i, : len(some)], tags[i, : len(some)] = shapes(some), given
+            i += 1
     return train(words, tags, np.array(found["file"].to_pylist()))
 
 

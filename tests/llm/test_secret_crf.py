@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -146,3 +147,14 @@ def test_found_spans_are_kept_whole(text, tags, left):
     spans = secret_crf.added_spans(text, np.array(tags), base)
     assert secret_crf.masked(text, secret_crf.ordered(base + spans), "[secret]") == left
     assert len(spans) == (left != text and not left.startswith('x [secret]"'))
+
+
+def test_training_holds_windows_once():
+    chance = np.random.default_rng(5)
+    words = chance.random((12_000, secret_crf.WINDOW, secret_crf.SHAPES)) < 0.3
+    tags, file = chance.integers(0, 3, words.shape[:2]), chance.random((len(words), secret_crf.FILE_FEATURES))
+    tracemalloc.start()
+    secret_crf.train(words, tags, file, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * words.nbytes  # eight times and more as doubles, before
