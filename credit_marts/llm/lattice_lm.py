@@ -24,15 +24,14 @@ training rows the prior alone scores. Columns other than id and text are not rea
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,13 +46,20 @@ MOST_KEPT = 300_000  # distinct words a task adds up before it sends them
 LATTICE_CHARS = 30_000  # characters of words whose lattices are built at a time
 
 MARK, END = "▁", "\n"  # before a word; the end sign among words, which no word can be
-_LOWER = bytes(byte + 32 if 0x41 <= byte <= 0x5A else byte for byte in range(256))
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TEN = math.log(10.0)
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass"))
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts and then an end for each text, with the number of the text each is of."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # at \x20 and \x09-\x0D alone
+    words = split.flatten()
+    own = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    some = pc.greater(pc.binary_length(words), 0)
+    ends = pa.array([END] * len(texts), words.type)
+    return (
+        pa.concat_arrays([words.filter(some), ends]),
+        np.concatenate([own[some.to_numpy(zero_copy_only=False)], np.arange(len(texts))]),
+    )
 
 
 class Steps64:
@@ -152,10 +158,11 @@ def read_vocabulary(path: str, ranks: bool = True) -> Vocabulary:
 class Lattice:
     """The arcs of the lattices of some words, by the places they lead to."""
 
-    def __init__(self, words: list[str], vocabulary: Vocabulary) -> None:
-        sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
-        text = "".join(MARK + w for w in words)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    def __init__(self, words: pa.Array | list[str], vocabulary: Vocabulary) -> None:
+        marked = pc.binary_join_element_wise(MARK, pa.array(words, pa.string()), "")
+        sizes = pc.utf8_length(marked).to_numpy().astype(np.int64)
+        text = "".join(marked.to_pylist())
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
         stops = np.cumsum(sizes)
         begins = stops - sizes
         own = np.repeat(np.arange(len(words)), sizes)
@@ -166,6 +173,7 @@ class Lattice:
         self.words = len(words)
         # Place p of word w is begins[w] + w + p: words have one place more than characters.
         base = begins + np.arange(len(words))
+        place_of, left = np.arange(len(codes)) + own, stops[own] - np.arange(len(codes))
         starts, ends, pieces = [], [], []
         at, node = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
         depth = 0
@@ -176,16 +184,16 @@ class Lattice:
             depth += 1
             piece = vocabulary.piece[node]
             whole = piece >= 0
-            starts.append(at[whole] + own[at[whole]])
+            starts.append(place_of[at[whole]])
             ends.append(starts[-1] + depth)
             pieces.append(piece[whole])
-            inside = at + depth < stops[own[at]]
+            inside = left[at] > depth
             at, node = at[inside], node[inside]
         # Bytes of characters without a piece: one arc that stands for all of them.
         odd = np.flatnonzero(~vocabulary.single[letter] | ~known)
         spelled = [vocabulary.bytes_at[list(chr(c).encode("utf-8", "surrogatepass"))] for c in codes[odd].tolist()]
         plain = sum(map(len, pieces))
-        starts.append(odd + own[odd])
+        starts.append(place_of[odd])
         ends.append(starts[-1] + 1)
         pieces.append(np.full(len(odd), -1, dtype=np.int64))
         self.starts, self.ends = np.concatenate(starts), np.concatenate(ends)
@@ -259,38 +267,37 @@ class Lattice:
         return out, float(sums[self.last] @ times)
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[str], np.ndarray]]:
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """The words of a batch by their size, about LATTICE_CHARS at a time, and their rows."""
-    words = batch["word"].to_pylist()
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    words = batch["word"]
+    sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False)
     order = np.argsort(sizes, kind="stable")
-    group = np.cumsum(sizes[order]) // LATTICE_CHARS
+    group = np.cumsum(sizes[order], dtype=np.int64) // LATTICE_CHARS
     for rows in np.split(order, np.flatnonzero(np.diff(group)) + 1) if len(order) else ():
-        yield [words[i] for i in rows.tolist()], rows
+        yield words.take(pa.array(rows)), rows
 
 
-def _counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[bool, Counter] = {True: Counter(), False: Counter()}  # of held-out and of training texts
-
-    def sent() -> pa.RecordBatch:
-        held, learned = sums[True], sums[False]
-        words = [*learned, *(w for w in held if w not in learned)]
-        n = [learned[w] + held[w] for w in words], [learned[w] for w in words]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.string()), *(pa.array(own, pa.int64()) for own in n)], ["word", "n", "learned"]
-        )
+def _merged(parts: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum"), ("learned", "sum")])
+    return sums.select(["word", "n_sum", "learned_sum"]).rename_columns(["word", "n", "learned"])
+
 
+def _counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts: list[pa.Table] = []
     for batch in found:
         for part in slices(batch):
-            for held, text in zip(part["held_out"].to_pylist(), part["text"].to_pylist(), strict=True):
-                own = sums[held]
-                own.update(words_of(text))
-                own[END] += 1
-            if sum(map(len, sums.values())) > MOST_KEPT:
-                yield sent()
-                for own in sums.values():
-                    own.clear()
-    yield sent()
+            words, own = words_of(part["text"])
+            coded = words.dictionary_encode()
+            code = coded.indices.to_numpy().astype(np.int64)
+            learned = ~part["held_out"].to_numpy(zero_copy_only=False)
+            n = [np.bincount(c, minlength=len(coded.dictionary)) for c in (code, code[learned[own]])]
+            parts.append(pa.table([coded.dictionary, *map(pa.array, n)], ["word", "n", "learned"]))
+            if sum(map(len, parts)) > 2 * MOST_KEPT:
+                parts = [_merged(parts)]
+                if len(parts[0]) > MOST_KEPT:
+                    yield from parts.pop().to_batches()
+    if parts:
+        yield from _merged(parts).to_batches()
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -361,38 +368,37 @@ def word_scores(words: DataFrame, vocabulary: Vocabulary, logs: np.ndarray) -> D
             own = np.zeros(len(batch))
             for words, rows in _blocks(batch):
                 own[rows] = Lattice(words, vocabulary).logs(logs)
-                own[rows[[word == END for word in words]]] = logs[-1]
+                own[rows[pc.equal(words, END).to_numpy(zero_copy_only=False)]] = logs[-1]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own / _TEN)], [*batch.schema.names, "log"])
 
     return arrow_map(words.select("word", "n", "learned"), batches, "word string, n bigint, learned bigint, log double")
 
 
-def _looked_up(hot: dict[str, tuple[int, float]], base_of):
+def _looked_up(hot: Broadcast, below: float):
     """Sums over a text's hot words, and its other words with their numbers."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {word: i for i, word in enumerate(hot.value)}
+        known, counts, logs = hot.value
+        known = pa.array(known, pa.string())
         # Place -1, the last one, is that of all other words and adds nothing.
-        values = np.array([(c > 0, base_of(c), log) for c, log in hot.value.values()] + [(0.0, 0.0, 0.0)]).T.copy()
+        values = [np.append(v, 0.0) for v in (counts > 0, np.log10(counts + 1.0) - below, logs)]
         for batch in found:
             for part in slices(batch):
-                sums, rest = [], []
-                for text in part["text"].to_pylist():
-                    words = words_of(text)
-                    words.append(END)
-                    at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
-                    sums.append((len(words), *values[:, at].sum(axis=1).tolist()))
-                    rest.append(list(Counter(compress(words, at < 0)).items()))
-                tokens, known, base, score = zip(*sums, strict=True)
-                ends = np.cumsum([0, *map(len, rest)])
+                words, own = words_of(part["text"])
+                at = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False)
+                tokens = np.bincount(own, minlength=len(part))
+                sums = [np.bincount(own, v[at], len(part)) for v in values]
+                other = at < 0
+                rest = words.filter(pa.array(other)).dictionary_encode()
+                size = max(len(rest.dictionary), 1)
+                pairs, times = np.unique(own[other] * size + rest.indices.to_numpy(), return_counts=True)
+                ends = np.cumsum([0, *np.bincount(pairs // size, minlength=len(part))])
                 listed = pa.StructArray.from_arrays(
-                    [pa.array([w for own in rest for w, _ in own], pa.string()), pa.array([n for own in rest for _, n in own], pa.int64())],
-                    ["word", "times"],
+                    [rest.dictionary.take(pa.array(pairs % size)), pa.array(times, pa.int64())], ["word", "times"]
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part["row"], part["id"], part["held_out"], pa.array(tokens, pa.int64()), pa.array(np.array(known).astype(np.int64)),
-                     pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed)],
+                    [part["row"], part["id"], part["held_out"], pa.array(tokens, pa.int64()), pa.array(sums[0].astype(np.int64)),
+                     pa.array(sums[1]), pa.array(sums[2]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed)],
                     ["row", "id", "held_out", "n_tokens", "known", "base", "score", "rest"],
                 )
 
@@ -415,14 +421,12 @@ def scored(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
         F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0)), F.count(F.when(F.col("learned") > 0, 1))
     ).first()
     often = (F.col("n") * HOT >= total) & (F.char_length("word") <= HOT_CHARS)
-    hot = {r["word"]: (r["learned"], r["log"]) for r in words.where(often).collect()}  # HOT words at most
-    hot = spark.sparkContext.broadcast(hot)
+    held = words.where(often).select("word", "learned", "log").toArrow()  # HOT words at most
+    hot = spark.sparkContext.broadcast(
+        (held["word"].to_pylist(), held["learned"].to_numpy(), held["log"].to_numpy())
+    )
     below = math.log10(train + distinct + 1)
-
-    def base_of(count: int) -> float:
-        return math.log10(count + 1) - below
-
-    rows = arrow_map(_rows(docs, id_col, text_col), _looked_up(hot, base_of), _ROWS)
+    rows = arrow_map(_rows(docs, id_col, text_col), _looked_up(hot, below), _ROWS)
     rows = steps.store(rows, codec="zstd")
     rest = rows.select("row", F.explode("rest").alias("own")).select("row", "own.*")
     rare = words.where(~often).select(

@@ -8,6 +8,7 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from credit_marts.llm import lattice_lm as lm
@@ -135,3 +136,25 @@ def test_rounds_raise_the_likelihood_of_held_out_texts(spark, vocabulary):
     lattice, times = lm.Lattice([w for w, _ in held], vocabulary), np.array([n for _, n in held], float)
     assert lattice.logs(logs) @ times > 0.85 * (lattice.logs(np.log(vocabulary.prior)) @ times)
     assert np.exp(logs).sum() == pytest.approx(1.0)
+
+
+def test_words_are_split_at_ascii_space_alone():
+    texts = ["", " \t", "A\x0bB\x0cC\rD\nE", "É x\x1cY\x85z  Ü", "  one  TWO "]
+    words, own = lm.words_of(pa.array(texts, pa.string()))
+    by_text = [[w for w, i in zip(words.to_pylist(), own.tolist()) if i == n] for n in range(len(texts))]
+    assert by_text == [[*lowered(t), lm.END] for t in texts]
+
+
+def test_words_sent_in_parts(monkeypatch):
+    texts = [f"a b{i % 3} c{i} a" for i in range(50)]
+    whole = Counter(w for t in texts for w in [*t.split(), lm.END])
+    learned = Counter(w for i, t in enumerate(texts) if i % 4 for w in [*t.split(), lm.END])
+    held = pa.array([i % 4 == 0 for i in range(50)])
+    batches = [pa.RecordBatch.from_arrays([held, pa.array(texts)], ["held_out", "text"]).slice(i, 5) for i in range(0, 50, 5)]
+    for most in (1, 20, 1000):
+        monkeypatch.setattr(lm, "MOST_KEPT", most)
+        sums = Counter(), Counter()
+        for r in pa.Table.from_batches(lm._counted(iter(batches))).to_pylist():
+            sums[0][r["word"]] += r["n"]
+            sums[1][r["word"]] += r["learned"]
+        assert sums[0] == whole and +sums[1] == learned
