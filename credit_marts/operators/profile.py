@@ -292,22 +292,28 @@ def missing_event_profile(df: DataFrame, amount: str, day: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"), *missing_event_aggregates(amount, day))
 
 
+def delay_aggregates(
+    due: str, paid_on: str, number: str, number_alias: str = "instalment_number"
+) -> list[Column]:
+    """Installment numbers, delays and late rows among the events that did happen; without one, NULL."""
+    delay, happened = payment_delay(F.col(due), F.col(paid_on)), F.col(paid_on).isNotNull()
+    late = F.when(is_late(F.col(due), F.col(paid_on)), 1).otherwise(0)
+    return [
+        F.min(F.when(happened, F.col(number))).alias(f"min_{number_alias}"),
+        F.max(F.when(happened, F.col(number))).alias(f"max_{number_alias}"),
+        F.min(delay).alias("min_payment_delay_days"),
+        F.max(delay).alias("max_payment_delay_days"),
+        F.avg(delay).alias("avg_payment_delay_days"),
+        F.sum(F.when(happened, late)).alias("late_payment_count"),
+    ]
+
+
 def delay_profile(
     df: DataFrame, due: str, paid_on: str, number: str, number_alias: str = "instalment_number"
 ) -> DataFrame:
     """Installment numbers, delays and late rows among the events that did happen."""
-    delay = payment_delay(F.col(due), F.col(paid_on))
     happened = df.where(F.col(paid_on).isNotNull())
-    return decimals_to_double(
-        happened.agg(
-            F.min(number).alias(f"min_{number_alias}"),
-            F.max(number).alias(f"max_{number_alias}"),
-            F.min(delay).alias("min_payment_delay_days"),
-            F.max(delay).alias("max_payment_delay_days"),
-            F.avg(delay).alias("avg_payment_delay_days"),
-            _ones(is_late(F.col(due), F.col(paid_on))).alias("late_payment_count"),
-        )
-    )
+    return decimals_to_double(happened.agg(*delay_aggregates(due, paid_on, number, number_alias)))
 
 
 def long_form(one_row: DataFrame) -> DataFrame:
@@ -321,10 +327,13 @@ def profile_table(
     null_columns: Sequence[str] = (),
     measures: Sequence[Measure] = (),
     missing_event: Mapping[str, str] | None = None,
+    delay: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Row count, NULL rates, ranges and missing events of a table as (metric, value), in one scan."""
+    """Row count, NULL rates, ranges, missing events and delays of a table as (metric, value), in one scan."""
     aggregates = [F.count(F.lit(1)).alias("total_rows"), *null_rate_aggregates(null_columns)]
     aggregates += [a for m in measures for a in m.aggregates()]
     if missing_event:
         aggregates += missing_event_aggregates(**missing_event)
+    if delay:
+        aggregates += delay_aggregates(*delay)
     return long_form(df.agg(*aggregates))

@@ -212,15 +212,15 @@ def profile_queries(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def run_all(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every single-valued metric of every table as (table_name, metric, value).
 
-    NULL rates, ranges and missing events of a table share one scan; keys, references and
-    delays add one each.
+    NULL rates, ranges, missing events and delays of a table share one scan; keys and references
+    add one each.
     """
     parts: list[DataFrame] = []
     for name, profile in profiles().items():
         missing = dict(zip(("amount", "day"), profile.missing_event)) if profile.missing_event else None
-        metrics = [p.profile_table(tables[name], profile.nullable, profile.measures, missing)]
+        metrics = [p.profile_table(tables[name], profile.nullable, profile.measures, missing, profile.delay)]
         for question, answer in table_questions(name, profile).items():
-            if question in ("keys", "delays") or question.startswith("orphan_"):
+            if question == "keys" or question.startswith("orphan_"):
                 metrics.append(p.long_form(answer(tables).drop("row_count")))
         parts += [m.select(F.lit(name).alias("table_name"), "metric", "value") for m in metrics]
     return reduce(DataFrame.unionAll, parts)

@@ -226,3 +226,13 @@ def test_hot_key_against_plain_counting(spark):
         "row_count": n, "distinct_k": len({k for k, _ in rows if k is not None}),
         "distinct_key_combo": len(combos), "duplicate_key_combo": n - len(combos),
     }
+
+
+def test_delays_share_the_scan_of_the_table(spark):
+    rows = [(1, -10.0, -12.0, 5.0), (2, -10.0, -3.0, 5.0), (9, -10.0, None, None), (None, None, -1.0, 2.0)]
+    df = spark.createDataFrame(rows, "number int, due double, paid double, amount double")
+    delay = ("due", "paid", "number")
+    for part in (df, df.where("paid IS NULL"), df.limit(0)):
+        alone = {r["metric"]: r["value"] for r in p.long_form(p.delay_profile(part, *delay)).collect()}
+        shared = {r["metric"]: r["value"] for r in p.profile_table(part, delay=delay).collect()}
+        assert alone == {m: shared[m] for m in alone} and len(shared) == len(alone) + 1
