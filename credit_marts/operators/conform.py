@@ -91,6 +91,10 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> D
     return ranked.where(F.col("_rank") == 1).drop("_apart", "_rank")
 
 
+# Repeated keys up to which they are looked up in the table: as many as Spark broadcasts by default.
+MOST_REPEATED = 500_000
+
+
 def _resolve_repeated(
     df: DataFrame, keys: Sequence[str], resolve: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
@@ -98,12 +102,17 @@ def _resolve_repeated(
 
     A first job counts the keys alone and stores the repeated ones in the shared work folder, so
     that Spark knows their size when it chooses how to join them. Without any the table is
-    returned as it is. A row with a NULL key part is never a repeated one.
+    returned as it is. With more than MOST_REPEATED of them both lookups would exchange the table,
+    so ``resolve`` gets it as a whole and exchanges it once. A row with a NULL key part is never a
+    repeated one.
     """
     counted = df.where(_complete(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     folder = work_dir(df.sparkSession)
-    if land(counted.where("_rows > 1").select(*keys), folder, "repeated_keys") == 0:
+    found = land(counted.where("_rows > 1").select(*keys), folder, "repeated_keys")
+    if found == 0:
         return df
+    if found > MOST_REPEATED:
+        return resolve(df)
     repeated = df.sparkSession.read.parquet(f"{folder}/repeated_keys")
     single = df.join(repeated, list(keys), "left_anti").select(*df.columns)
     several = df.join(repeated, list(keys), "left_semi").select(*df.columns)

@@ -172,3 +172,15 @@ def test_mostly_null_columns(mini):
     assert c.mostly_null_columns(df, 99) == ["RATE_INTEREST_PRIMARY"]
     assert "RATE_INTEREST_PRIMARY" not in c.drop_mostly_null(df, 99).columns
     assert c.drop_mostly_null(df, 99, ["AMT_CREDIT"]).columns == df.columns
+
+
+def test_many_repeated_keys_are_resolved_in_one_exchange(spark, monkeypatch):
+    df = spark.range(400).selectExpr("id % 150 AS k", "id AS v", "id % 3 AS w")
+    expected = sorted(map(tuple, c.dedup(df, ["k"]).collect()))
+    monkeypatch.setattr(c, "MOST_REPEATED", 20)
+    out = c.dedup_rare(df, ["k"])
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == expected
+    full = c.drop_full_duplicates_rare(df.select("k", "w"))
+    assert "Join" not in full._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, df.select("k", "w").distinct().collect()))
