@@ -76,17 +76,26 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+def dedup(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), read: Sequence[str] | None = None
+) -> DataFrame:
     """One row per key, the first in ``order``; the remaining columns break ties, values before
     NULL, so the choice is the same on every run.
 
+    With ``read`` the caller promises to use no columns but these and the keys. Ties that are left
+    after the last of them are between rows that are equal for the caller, so the columns behind it
+    break none, and those that nobody reads are neither sorted nor exchanged.
+
     The rank filter lets Spark keep one row per key and task before the exchange, so a hot key
     sends one row per task. A row with a NULL key part identifies nothing: each is a group of its
     own, by a number that spreads them, and all of them are kept. The table is scanned once.
     """
     apart = F.when(~_complete(keys), F.monotonically_increasing_id())
-    tie_breakers = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys, "_apart").orderBy(*order, *tie_breakers)
+    others = [c for c in df.columns if c not in keys]
+    if read is not None:
+        others = others[: max((n for n, c in enumerate(others, 1) if c in read), default=0)]
+    tie_breakers = [F.col(c).asc_nulls_last() for c in others]
+    window = Window.partitionBy(*keys, "_apart").orderBy(*(list(order) + tie_breakers or keys))
     ranked = df.withColumn("_apart", apart).withColumn("_rank", F.row_number().over(window))
     return ranked.where(F.col("_rank") == 1).drop("_apart", "_rank")
 
@@ -119,10 +128,12 @@ def _resolve_repeated(
     return single.unionAll(resolve(several))
 
 
-def dedup_rare(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+def dedup_rare(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), read: Sequence[str] | None = None
+) -> DataFrame:
     """``dedup`` for a wide table in which few keys repeat: where their keys are small enough to be
     sent to the rows, only rows with a repeated key are exchanged. Runs a job on the keys."""
-    return _resolve_repeated(df, keys, lambda rows: dedup(rows, keys, order))
+    return _resolve_repeated(df, keys, lambda rows: dedup(rows, keys, order, read))
 
 
 def drop_full_duplicates(df: DataFrame) -> DataFrame:

@@ -35,6 +35,31 @@ SENTINELS = {"application": ("DAYS_EMPLOYED",), "previous_application": ("DAYS_F
 # Tables that reach the applicant directly and through an earlier application.
 TWO_ROUTES = ("POS_CASH_balance", "credit_card_balance", "installments_payments")
 
+# The columns beside the keys that the quality report and the dimensions read of the
+# conformed tables. Installments are compared in all columns whoever reads them.
+REPORT_READS = {
+    "application": (),
+    "bureau": ("SK_ID_CURR",),
+    "bureau_balance": (),
+    "previous_application": ("SK_ID_CURR",),
+    "POS_CASH_balance": ("SK_ID_CURR",),
+    "credit_card_balance": ("SK_ID_CURR",),
+    "installments_payments": ("SK_ID_PREV", "SK_ID_CURR"),
+}
+DIMENSION_READS = {
+    "bureau": (
+        "SK_ID_CURR", "CREDIT_ACTIVE", "AMT_CREDIT_SUM_DEBT", "CREDIT_DAY_OVERDUE", "AMT_CREDIT_MAX_OVERDUE", "DAYS_CREDIT",
+    ),
+    "bureau_balance": ("STATUS",),
+    "previous_application": (
+        "SK_ID_CURR", "NAME_CONTRACT_STATUS", "CODE_REJECT_REASON", "AMT_APPLICATION", "AMT_CREDIT",
+    ),
+    "POS_CASH_balance": ("SK_ID_CURR", "NAME_CONTRACT_STATUS", "SK_DPD", "SK_DPD_DEF"),
+    "credit_card_balance": (
+        "SK_ID_CURR", "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "CNT_DRAWINGS_ATM_CURRENT", "SK_DPD",
+    ),
+}
+
 Dedup = Callable[..., DataFrame]
 
 
@@ -90,10 +115,10 @@ def silver_previous_application(df: DataFrame, dedup: Dedup = conform.dedup) ->
     return conform.add_grant_gap(dedup(df, SILVER_KEYS["previous_application"], order))
 
 
-def silver_bureau_balance(df: DataFrame) -> DataFrame:
+def silver_bureau_balance(df: DataFrame, dedup: Dedup = conform.dedup) -> DataFrame:
     """Of two statuses of one month the worse one stays: it is the signal the marts measure."""
     df = conform.add_status_severity(_prepared(df))
-    return conform.dedup(df, SILVER_KEYS["bureau_balance"], _first(df, "status_severity"))
+    return dedup(df, SILVER_KEYS["bureau_balance"], _first(df, "status_severity"))
 
 
 def silver_pos_cash_balance(df: DataFrame, dedup: Dedup = conform.dedup) -> DataFrame:
@@ -119,27 +144,54 @@ def silver_installments(df: DataFrame, distinct: Dedup = conform.drop_full_dupli
     return conform.add_ratio(df, "AMT_PAYMENT", "AMT_INSTALMENT", "paid_share")
 
 
-def silver_tables(bronze: Mapping[str, DataFrame], rare_duplicates: bool = False) -> LazyTables:
+def silver_tables(
+    bronze: Mapping[str, DataFrame],
+    rare_duplicates: bool = False,
+    reads: Mapping[str, Sequence[str]] | None = None,
+) -> LazyTables:
     """All conformed tables. With ``rare_duplicates`` building a wide one runs a job that looks for
     its duplicates by key or hash, so that its rows are not exchanged for the few there are; the
-    monthly statuses are nothing but key and status and gain nothing from that."""
-    dedup = conform.dedup_rare if rare_duplicates else conform.dedup
+    monthly statuses are nothing but key and status and gain nothing from that.
+
+    ``reads`` names the columns beside the keys that the caller uses of a table; the others are then
+    neither sorted nor exchanged for its deduplication, and must not be used."""
+
+    def dedup(table: str, rare: bool = rare_duplicates) -> Dedup:
+        chosen = conform.dedup_rare if rare else conform.dedup
+        return partial(chosen, read=reads[table]) if reads and table in reads else chosen
+
     distinct = conform.drop_full_duplicates_rare if rare_duplicates else conform.drop_full_duplicates
     return LazyTables(
         {
             "application": lambda: silver_application(
-                bronze["application_train"], bronze["application_test"], dedup
+                bronze["application_train"], bronze["application_test"], dedup("application")
+            ),
+            "bureau": lambda: silver_bureau(bronze["bureau"], dedup("bureau")),
+            "bureau_balance": lambda: silver_bureau_balance(
+                bronze["bureau_balance"], dedup("bureau_balance", rare=False)
+            ),
+            "previous_application": lambda: silver_previous_application(
+                bronze["previous_application"], dedup("previous_application")
+            ),
+            "POS_CASH_balance": lambda: silver_pos_cash_balance(bronze["POS_CASH_balance"], dedup("POS_CASH_balance")),
+            "credit_card_balance": lambda: silver_credit_card_balance(
+                bronze["credit_card_balance"], dedup("credit_card_balance")
             ),
-            "bureau": lambda: silver_bureau(bronze["bureau"], dedup),
-            "bureau_balance": lambda: silver_bureau_balance(bronze["bureau_balance"]),
-            "previous_application": lambda: silver_previous_application(bronze["previous_application"], dedup),
-            "POS_CASH_balance": lambda: silver_pos_cash_balance(bronze["POS_CASH_balance"], dedup),
-            "credit_card_balance": lambda: silver_credit_card_balance(bronze["credit_card_balance"], dedup),
             "installments_payments": lambda: silver_installments(bronze["installments_payments"], distinct),
         }
     )
 
 
+def report_tables(bronze: Mapping[str, DataFrame]) -> LazyTables:
+    """The conformed tables with the columns that the quality report reads of them, all their rows."""
+    silver = silver_tables(bronze, reads=REPORT_READS)
+
+    def one(name: str) -> DataFrame:
+        return silver[name].select(*dict.fromkeys([*SILVER_KEYS.get(name, ()), *REPORT_READS[name]]))
+
+    return LazyTables({name: partial(one, name) for name in silver})
+
+
 def silver_rules() -> dict[str, list[checks.Rule]]:
     """Row rules a conformed table must meet to be stored."""
     # Allowed labels and monthly statuses.
@@ -189,22 +241,31 @@ def changes(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) ->
     duplicates (``dropped``), and how many rows had no key of their own before (``unique``).
 
     Keys and offsets are read apart: their columns hardly overlap, so no value is read twice, and
-    the grouping by key carries nothing but keys."""
-    parts = []
+    the grouping by key carries nothing but keys. Only installments, which may come from a join, are
+    read once, and their grouping carries the counts of values that did not fit."""
+    parts, column = [], F.substring("found", len("rejected_") + 1, 1000)
     for table, keys in {**SILVER_KEYS, "installments_payments": INSTALMENT_KEY}.items():
         raw = _raw(bronze, table)
-        counts = conform.cast_rejects(raw, offset_types(raw))
-        rejected = counts.unpivot([], counts.columns, "column_name", "n")
-        detail = F.substring("column_name", len("rejected_") + 1, 1000)
-        parts.append(_finding("rejected", table, detail, rejected, "n"))
-        per_key = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        types, carried = offset_types(raw), []
+        if table == "installments_payments":
+            flags = [fails.cast("int").alias(f"rejected_{c}") for c, fails in conform.misfits(raw, types).items()]
+            raw = raw.select(*keys, *flags)
+            carried = [c for c in raw.columns if c not in keys]
+        else:
+            counts = conform.cast_rejects(raw, types)
+            rejected = counts.unpivot([], counts.columns, "found", "n")
+            parts.append(_finding("rejected", table, column, rejected, "n"))
+        per_key = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in carried])
         complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
         total = F.coalesce(F.sum("rows"), F.lit(0))
         kept = silver[table].agg(F.count(F.lit(1)).alias("kept")).scalar()
-        found = per_key.agg((total - kept).alias("dropped"), (total - F.count_if(complete)).alias("unique"))
-        found = found.unpivot([], ["dropped", "unique"], "found", "n")
-        detail = F.when(F.col("found") == "dropped", "duplicates").otherwise(",".join(keys))
-        parts.append(_finding(F.col("found"), table, detail, found, "n"))
+        found = per_key.agg(
+            (total - kept).alias("dropped"), (total - F.count_if(complete)).alias("unique"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in carried],
+        ).unpivot([], ["dropped", "unique", *carried], "found", "n")
+        check = F.when(F.col("found").isin("dropped", "unique"), F.col("found")).otherwise("rejected")
+        detail = F.when(F.col("found") == "dropped", "duplicates").when(F.col("found") == "unique", ",".join(keys))
+        parts.append(_finding(check, table, detail.otherwise(column), found, "n"))
     return parts
 
 

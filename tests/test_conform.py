@@ -184,3 +184,18 @@ def test_many_repeated_keys_are_resolved_in_one_exchange(spark, monkeypatch):
     full = c.drop_full_duplicates_rare(df.select("k", "w"))
     assert "Join" not in full._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, df.select("k", "w").distinct().collect()))
+
+
+def test_dedup_for_a_reader_sorts_and_exchanges_only_what_decides(spark):
+    """Every column that is read is the same as with all columns breaking ties; nothing behind the last one is used."""
+    rows = [(i % 40, i % 3, None if i % 7 == 0 else i % 4, i % 5, f"v{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "k bigint, t bigint, a bigint, b bigint, wide string").repartition(4)
+    order = [F.col("t").desc()]
+    for read in (["a"], ["b"], ["t"], ["a", "b"], []):
+        whole = sorted(map(str, c.dedup(df, ["k"], order).select("k", *read).collect()))
+        found = c.dedup(df, ["k"], order, read).select("k", *read)
+        assert sorted(map(str, found.collect())) == whole
+        assert sorted(map(str, c.dedup_rare(df, ["k"], order, read).select("k", *read).collect())) == whole
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "wide" not in plan.split("Window")[1].split("LogicalRDD")[0]
+    assert c.dedup(df, ["k"], (), []).select("k").count() == 40

@@ -244,3 +244,34 @@ def test_an_external_place_is_written_once_and_put_back(spark, monkeypatch, tmp_
     (tmp_path / "placed").rename(tmp_path / "placed__replaced")
     assert recover(spark, name, path) and spark.table(name).count() == 6
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_tables_for_the_report_and_the_dimensions_equal_the_whole_ones(spark, mini):
+    """Repeated keys whose rows differ in every column: what is read of them is that of the whole tables."""
+    from credit_marts.plans import pipeline
+
+    def other(df, name, c):
+        number = c not in pipeline.SILVER_KEYS.get(name, df.columns) and df.schema[c].dataType.typeName() != "string"
+        return (F.col(c) + 1).cast(df.schema[c].dataType).alias(c) if number else F.col(c)
+
+    bronze = {n: df.unionAll(df.select([other(df, n, c) for c in df.columns])) for n, df in mini.items()}
+    whole = silver_tables(bronze)
+    narrow = pipeline.report_tables(bronze)
+    for name, df in narrow.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, whole[name].select(*df.columns).collect())), name
+    report, expected = quality_report(narrow, bronze), quality_report(whole, bronze)
+    assert sorted(map(str, report.collect())) == sorted(map(str, expected.collect()))
+    for_marts = silver_tables(bronze, reads=pipeline.DIMENSION_READS)
+    fact = gold_tables(whole, ["HC"])["fact_application"]
+    found = gold_tables(for_marts, ["HC"])["fact_application"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, fact.collect()))
+
+
+def test_installments_are_read_once_for_what_conforming_changed(spark, mini):
+    from credit_marts.plans import pipeline
+
+    parts = pipeline.changes(mini, pipeline.report_tables(mini))
+    own = [p for p in parts if "installments_payments AS table_name" in p._jdf.queryExecution().analyzed().toString()]
+    assert len(own) == 1
+    found = {r["check_name"] for r in own[0].collect()}
+    assert found == {"rejected", "dropped", "unique"}

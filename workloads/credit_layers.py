@@ -355,9 +355,9 @@ def _stored(spark: SparkSession, tables: Mapping[str, DataFrame], at_a_time: int
 
 
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report of the pipeline on its own tables, raw and stored conformed ones."""
+    """The report of the pipeline on its own tables, raw and stored conformed ones; of these the columns it reads."""
     raw = CreditTables(spark, sf_dir)
-    return pipeline.quality_report(_stored(spark, pipeline.silver_tables(raw)), raw)
+    return pipeline.quality_report(_stored(spark, pipeline.report_tables(raw)), raw)
 
 
 def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
