@@ -246,3 +246,10 @@ def test_bloom_filter_keeps_sure_orphans_from_the_exchange(spark):
         may = may.where(F.col(f"w{i}").bitwiseAND(bit) != 0)
     known = child.join(parents, child["k"] == parents["p"]).count()
     assert known <= may.count() <= known + 0.01 * child.count()
+
+
+def test_dimensions_exchange_only_columns_that_decide(spark):
+    """What breaks no tie that a dimension could see is neither sorted nor exchanged."""
+    unread = {"dim_previous_application": "DAYS_FIRST_DRAWING", "dim_bureau": "AMT_ANNUITY", "dim_credit_card_agg": "SK_DPD_DEF"}
+    for name, column in unread.items():
+        assert column not in plan_of(entry.queries()[f"gold_{name}"](spark, SF)), name

@@ -55,18 +55,23 @@ def _silver(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return pipeline.silver_tables(CreditTables(spark, sf_dir))
 
 
+def _silver_for_marts(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The conformed tables, of which the dimensions read some columns and the fact all of the applications."""
+    return pipeline.silver_tables(CreditTables(spark, sf_dir), reads=pipeline.DIMENSION_READS)
+
+
 def _silver_query(name: str) -> Query:
     return lambda spark, sf_dir: _rounded(_silver(spark, sf_dir)[name], DIGITS)
 
 
 def _gold_query(name: str) -> Query:
-    return lambda spark, sf_dir: _rounded(pipeline.gold_tables(_silver(spark, sf_dir), REASONS)[name], DIGITS)
+    return lambda spark, sf_dir: _rounded(pipeline.gold_tables(_silver_for_marts(spark, sf_dir), REASONS)[name], DIGITS)
 
 
 def _stored_dims_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact over stored applications and dimensions, as the pipeline builds it: the dimensions run
     beside each other, and no plan holds more than one of them."""
-    silver = _silver(spark, sf_dir)
+    silver = _silver_for_marts(spark, sf_dir)
     dims = pipeline.gold_dimensions(silver, REASONS)
     parts = LazyTables({**{n: partial(dims.__getitem__, n) for n in dims}, "application": lambda: silver["application"]})
     stored = _stored(spark, parts, at_a_time=6)
@@ -86,7 +91,7 @@ def _kept_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fact stored while a twentieth of the applicants had other cards, then refreshed by parts."""
-    silver, root = _silver(spark, sf_dir), work_dir(spark)
+    silver, root = _silver_for_marts(spark, sf_dir), work_dir(spark)
     dims = pipeline.gold_dimensions(silver, REASONS)
     lazy = LazyTables({**{n: partial(dims.__getitem__, n) for n in dims}, "application": lambda: silver["application"]})
     inputs = _stored(spark, lazy, at_a_time=6)
@@ -105,7 +110,7 @@ def _refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.gold_tables(_silver(spark, sf_dir), REASONS)["fact_application"]
+    return pipeline.gold_tables(_silver_for_marts(spark, sf_dir), REASONS)["fact_application"]
 
 
 def _int(column: str) -> str:
