@@ -14,7 +14,16 @@ from credit_marts.operators import checks, conform, marts
 from credit_marts.plans.jobs import GoldJob, SilverJob, ingest_all
 from credit_marts.plans.lazy import LazyTables
 from credit_marts.plans.profiles import DAYS_SENTINEL, LINKS, profiles
-from credit_marts.sources import RunLedger, TableSpec, ensure_schemas, files_fingerprint, fingerprint
+from credit_marts.sources import (
+    RunLedger,
+    TableSpec,
+    ensure_schemas,
+    files_fingerprint,
+    fingerprint,
+    land,
+    shuffles_freed,
+    work_dir,
+)
 
 # Natural keys of the conformed tables. Installments have none (see below).
 SILVER_KEYS = {
@@ -285,16 +294,29 @@ def drifts(train: DataFrame, test: DataFrame, points: float = 5.0) -> list[DataF
     ]
 
 
+def quality_parts(silver: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """The findings of the quality report, by what is grouped for them."""
+    routes = [checks.Route(table, "SK_ID_PREV", "previous_application", "SK_ID_CURR") for table in TWO_ROUTES]
+    references = checks.reference_summary(silver, silver_links(), routes).withColumnRenamed("child", "table_name")
+    return [references, *changes(bronze, silver), *drifts(bronze["application_train"], bronze["application_test"])]
+
+
 def quality_report(silver: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame]) -> DataFrame:
     """Findings that do not stop the pipeline, as (check_name, table_name, detail, failed_count):
     orphans and disagreeing routes to the applicant in the conformed tables, what conforming took
     away from the raw ones, and drift between the two samples."""
-    routes = [checks.Route(table, "SK_ID_PREV", "previous_application", "SK_ID_CURR") for table in TWO_ROUTES]
-    references = checks.reference_summary(silver, silver_links(), routes).withColumnRenamed("child", "table_name")
-    return reduce(
-        DataFrame.unionAll,
-        [references, *changes(bronze, silver), *drifts(bronze["application_train"], bronze["application_test"])],
-    )
+    return reduce(DataFrame.unionAll, quality_parts(silver, bronze))
+
+
+def staged_report(silver: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame]) -> DataFrame:
+    """``quality_report`` from parts that are stored one after the other: each has a few rows, but
+    the exchanges of all of them at once would be as large as the tables."""
+    spark, found = next(iter(silver.values())).sparkSession, []
+    folder = work_dir(spark)
+    for number, part in enumerate(quality_parts(silver, bronze)):
+        land(part, folder, f"part{number}")
+        found.append(spark.read.schema(part.schema).parquet(f"{folder}/part{number}"))
+    return reduce(DataFrame.unionAll, found)
 
 
 # The conformed tables each dimension is made of.
@@ -354,7 +376,23 @@ def run_pipeline(
     bucketed by it, and the fact joins them without an exchange; the fact has Bloom filters of its
     applicants too. ``reasons`` are the reject codes to count; by default all that occur, found in
     one pass.
+
+    The shuffle files of a table go as soon as it is stored, so the disk holds the tables and the
+    shuffles of those in work.
     """
+    with shuffles_freed(spark):
+        return _run_pipeline(spark, specs, fmt, reasons, buckets, at_a_time, resume)
+
+
+def _run_pipeline(
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    fmt: str,
+    reasons: Sequence[str] | None,
+    buckets: int | None,
+    at_a_time: int,
+    resume: bool,
+) -> dict[str, int]:
     catalog, prefix = specs[0].catalog, specs[0].schema_prefix
     ensure_schemas(spark, catalog, prefix=prefix)
     ledger = RunLedger(spark, f"{catalog}.{prefix}gold.run_ledger", resume)
@@ -410,7 +448,7 @@ def run_pipeline(
     named = LazyTables({f"dim_{name}": partial(dims.get, name) for name in dims})
     every = [f"silver.{name}" for name in silver]
     stored = store_all(GoldJob, "gold", named, lambda name: [f"silver.{t}" for t in DIMENSION_INPUTS[name]], {}, set(named))
-    store(SilverJob, "silver", "quality_report", lambda: quality_report(silver, bronze), [*every, *_names("bronze", specs)])
+    store(SilverJob, "silver", "quality_report", lambda: staged_report(silver, bronze), [*every, *_names("bronze", specs)])
 
     def fact() -> DataFrame:
         return marts.fact_application(silver["application"], {n: stored[f"dim_{n}"] for n in dims})

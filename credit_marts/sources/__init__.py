@@ -6,7 +6,7 @@ from credit_marts.sources.jdbc import jdbc_options, land_all, read_jdbc, write_j
 from credit_marts.sources.landing import land, read_landing
 from credit_marts.sources.ledger import RunLedger, files_fingerprint, fingerprint
 from credit_marts.sources.spec import TABLES, TableSpec, azure_root, table_specs
-from credit_marts.sources.tables import ensure_schemas, read_table, recover, work_dir, write_table
+from credit_marts.sources.tables import ensure_schemas, read_table, recover, shuffles_freed, work_dir, write_table
 
 __all__ = [
     "RunLedger",
@@ -28,6 +28,7 @@ __all__ = [
     "read_landing",
     "read_table",
     "recover",
+    "shuffles_freed",
     "table_specs",
     "work_dir",
     "write_jdbc",

@@ -1,5 +1,7 @@
 """All layers, stored."""
 
+from pathlib import Path
+
 import pytest
 from conftest import by, one, plan_of
 from pyspark.sql import functions as F
@@ -7,8 +9,8 @@ from pyspark.sql import functions as F
 from credit_marts import run_pipeline
 from credit_marts.operators.marts import reason_codes
 from credit_marts.plans import gold_tables, silver_tables
-from credit_marts.plans.pipeline import quality_report
-from credit_marts.sources import ensure_schemas, land, table_specs, work_dir
+from credit_marts.plans.pipeline import quality_report, staged_report
+from credit_marts.sources import ensure_schemas, land, shuffles_freed, table_specs, work_dir
 
 
 @pytest.fixture(scope="module")
@@ -275,3 +277,30 @@ def test_installments_are_read_once_for_what_conforming_changed(spark, mini):
     assert len(own) == 1
     found = {r["check_name"] for r in own[0].collect()}
     assert found == {"rejected", "dropped", "unique"}
+
+
+def _shuffled(spark):
+    """The shuffle files on this machine's disk."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for f in Path(folder).rglob("shuffle_*")}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, mini):
+    root = work_dir(spark)
+    for name, df in mini.items():
+        land(df, root, name)
+    ensure_schemas(spark, prefix="freed_", location=root)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept, before = spark.conf.get(setting), _shuffled(spark)
+    run_pipeline(spark, table_specs(root, schema_prefix="freed_"), reasons=["HC"], at_a_time=3)
+    assert not _shuffled(spark) - before and spark.conf.get(setting) == kept
+    with pytest.raises(ValueError), shuffles_freed(spark):
+        raise ValueError
+    assert spark.conf.get(setting) == kept
+
+
+def test_the_report_by_parts_is_the_report(spark, mini):
+    silver = silver_tables(mini)
+    found, expected = (sorted(map(tuple, f({n: silver[n] for n in silver}, mini).collect())) for f in (staged_report, quality_report))
+    assert found == expected and len(found) == 41
+    assert staged_report(silver, mini).dtypes == quality_report(silver, mini).dtypes

@@ -14,7 +14,7 @@ from credit_marts.operators import checks, marts, reports
 from credit_marts.plans import pipeline
 from credit_marts.plans.lazy import LazyTables
 from credit_marts.plans.refresh import PART, refresh_fact
-from credit_marts.sources import ensure_schemas, files_fingerprint, land, table_specs, work_dir, write_table
+from credit_marts.sources import ensure_schemas, files_fingerprint, land, shuffles_freed, table_specs, work_dir, write_table
 from workloads import credit_view
 from workloads.credit_view import CreditTables, with_credit_tables
 from workloads.native import mean_as_sum
@@ -404,8 +404,9 @@ def _all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing, bronze, silver and gold as stored tables by one call; returns the stored fact."""
     root = work_dir(spark)
     tables = CreditTables(spark, sf_dir)
-    for name, df in tables.items():
-        land(df, root, name)
+    with shuffles_freed(spark):
+        for name, df in tables.items():
+            land(df, root, name)
     ensure_schemas(spark, prefix="trial_", location=root)
     pipeline.run_pipeline(spark, table_specs(root, schema_prefix="trial_"), reasons=REASONS, buckets=8, at_a_time=4)
     return _rounded(spark.table("spark_catalog.trial_gold.fact_application"), DIGITS)
