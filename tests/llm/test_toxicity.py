@@ -95,3 +95,42 @@ def test_sums_of_blocks(monkeypatch):
     for block in (1, 7, 100, 5000):
         monkeypatch.setattr(toxicity, "BLOCK", block)
         assert np.allclose(toxicity._weighted(values, rows, share, ends), expected)
+
+
+def test_most_toxic_documents_given_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = toxicity.scored(docs, labels).join(labels.withColumnRenamed("doc_id", "id"), "id").where("held_out").collect()
+    toxic, clean = ([r["predicted"] for r in held if r["toxic"] == t] for t in (1, 0))
+    assert sum(toxic) / len(toxic) >= 0.85 and sum(clean) / len(clean) < 0.04
+
+
+def test_words_of_two_documents_are_learned(spark):
+    docs, labels = made(2500)
+    toxic = [i for i, t in labels if t and zlib.crc32(str(i).encode()) % 5][:2]
+    docs = [(i, text + (" zyqqxov" if i in toxic else "")) for i, text, *_ in docs]
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert "<zyqqxov>" in model.grams
+
+
+def test_embeddings_move_with_the_softmax(monkeypatch):
+    docs, labels = made(1200, seed=5)
+    names, codes, ends = {}, [], [0]
+    for _, text, *_ in docs:
+        codes += [names.setdefault(w, len(names)) for w in dict.fromkeys(toxicity.words_of(text))]
+        ends.append(len(codes))
+    ends, toxic = np.array(ends), np.array([t ^ (i % 9 == 0) for i, t in labels])  # some are wrong
+    shaped = (list(names), np.array(codes), np.ones(len(codes)), ends, np.diff(ends), toxic)
+
+    def losses(model):
+        words = model.word_weights(list(names))
+        sums = np.array([words[codes[a:b]].sum() for a, b in zip(ends, ends[1:])])
+        z = toxicity.SPREAD * sums / (np.diff(ends) + toxicity.BLANKS) + model.bias
+        return np.logaddexp(0, np.where(toxic == 1, -z, z)).mean()
+
+    both = toxicity.train(*shaped)
+    monkeypatch.setattr(toxicity, "PATIENCE", 0)
+    first = toxicity.train(*shaped)
+    assert losses(both) < 0.97 * losses(first)
+    ratio = both.weights @ first.weights / (first.weights @ first.weights)
+    assert np.abs(both.weights - ratio * first.weights).max() > 0.01 * np.abs(first.weights).max()  # not a scale alone
